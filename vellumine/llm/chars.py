@@ -48,7 +48,7 @@ def classes() -> np.ndarray:
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalises 64-bit hashes; wraps around on purpose."""
-    x = x ^ (x >> np.uint64(30))
+    x = x ^ (x >> np.uint64(30))  # the only new array
     x *= _MIX1
     x ^= x >> np.uint64(27)
     x *= _MIX2
@@ -80,6 +80,20 @@ def range_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def window_hashes(codes: np.ndarray, q: int) -> np.ndarray:
+    """range_hashes of all ranges of q codes, by slices."""
+    up, down = _power_tables(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    x = codes.astype(np.uint64)
+    x += np.uint64(0x51ED27)
+    x *= up[:-1]
+    np.cumsum(x, out=sums[1:])
+    h = sums[q:] - sums[:-q]
+    h *= down[: len(h)]
+    h += np.uint64(q)
+    return mix(h)
+
+
 class Block:
     """Some texts, joined: codes, cls (class bits), offsets (len(texts) + 1)."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumine.llm import nearduplicates, quality, splitting
+from vellumine.llm import encoding, leakage, nearduplicates, quality, splitting, vectors
 from vellumine.session import ensure_shipped, table
 
 WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -85,3 +85,55 @@ def p3_found(t):
 def p3_links(t):
     """Five words and a similarity of 0.8: one row per chunk with its class and number of links."""
     return nearduplicates.near_duplicate_links(t("chunks")).select(F.col("key").alias("chunk_id"), "cls", "links")
+
+
+_VEC_SQL = """
+with v as (select distinct provider, chunk_id, cast(embedding as double[]) as e from chunk_embeddings
+  where chunk_id is not null and provider is not null and len(embedding) = dim and dim > 0
+  and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s as (select a.provider, a.chunk_id as a, b.chunk_id as b, list_cosine_similarity(a.e, b.e) as c from v a join v b on a.provider = b.provider and len(a.e) = len(b.e) and a.chunk_id <> b.chunk_id @where),
+r as (select *, row_number() over (partition by provider, a order by c desc, b) as rank from s)
+"""
+
+
+@query("p5_found", _VEC_SQL.replace("@where", "") + "select distinct provider, least(a, b) as chunk_id_a, greatest(a, b) as chunk_id_b from r where rank <= 5 and c >= 0.9")
+def p5_found(t):
+    return vectors.found(t("chunk_embeddings"))
+
+
+@query("p5_neighbours")
+def p5_neighbours(t):
+    """The five most similar of every vector whose chunk's hash is divisible by 100, against all; recall is measured in the tests."""
+    e = t("chunk_embeddings")
+    asks = e.where(F.pmod(F.xxhash64("chunk_id"), F.lit(100)) == 0).select(F.col("chunk_id").alias("key"))
+    return vectors.similar_vectors(e, k=5, across=1.0, within=1.0, queries=asks).withColumnRenamed("key", "chunk_id")
+
+
+@query("p6_ids")
+def p6_ids(t):
+    return encoding.encode_corpus(t("documents"))
+
+
+@query("p6_round_trip", "select doc_id, coalesce(text, '') as text from documents")
+def p6_round_trip(t):
+    """Encoded and decoded again: the texts themselves."""
+    return encoding.decode_corpus(encoding.encode_corpus(t("documents")))
+
+
+_LEAK_SQL = r"""
+with d as (select doc_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) as w from documents where text is not null),
+i as (select item_id, list_transform(regexp_extract_all(text, '[\p{L}\p{N}]+'), lambda x: lower(x)) as w from eval_items where text is not null),
+dg as (select distinct doc_id, array_to_string(list_slice(w, k, k + 11), ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12)),
+ig as (select distinct item_id, array_to_string(list_slice(w, k, k + 11), ' ') as g from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12))
+"""
+
+
+@query("p7_found", _LEAK_SQL + "select distinct doc_id, item_id from dg join ig using (g)")
+def p7_found(t):
+    return leakage.found(t("documents"), t("eval_items"))
+
+
+@query("p7_regions")
+def p7_regions(t):
+    """Looser than p7_found: regions within one edit, exact or not."""
+    return leakage.leaked_items(t("documents"), t("eval_items")).withColumnsRenamed({"key": "doc_id", "item": "item_id"})
