@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vellumine.llm import encoding, leakage, nearduplicates, quality, splitting, vectors
+from vellumine.llm import encoding, languages, leakage, nearduplicates, quality, splitting, vectors
 from vellumine.session import ensure_shipped, table
 
 WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -137,3 +137,14 @@ def p7_found(t):
 def p7_regions(t):
     """Looser than p7_found: regions within one edit, exact or not."""
     return leakage.leaked_items(t("documents"), t("eval_items")).withColumnsRenamed({"key": "doc_id", "item": "item_id"})
+
+
+@query("p8_found")
+def p8_found(t):
+    return languages.found(t("documents"))
+
+
+@query("p8_passages")
+def p8_passages(t):
+    d = t("documents")
+    return languages.passages(d, languages.train(d)).withColumnRenamed("key", "doc_id")
