@@ -1,0 +1 @@
+"""Column functions: built-in expressions only, so that they stay in the JVM and are pushed or pruned by Catalyst."""

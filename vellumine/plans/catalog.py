@@ -6,66 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.operators import references
-from vellumine.session import ensure_shipped, table
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Registers a function of t, which gives the tables by name."""
-
-    def register(f):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_shipped(spark)
-            return f(lambda t: table(spark, sf_dir, t))
-
-        _QUERIES[name] = run
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return register
+from vellumine.plans import ingest_queries, lifecycle_queries, reference_queries, retrieval_queries, statistics_queries, text_queries  # noqa: F401
+from vellumine.plans.registry import QUERIES, SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-_WS = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-
-
-def _key(c: str) -> str:
-    return f"nullif(lower(regexp_replace({c}, '^{_WS}|{_WS}$', '', 'g')), '')"
-
-
-P4_SQL = f"""
-with loads as (select distinct {_key('doc_id')} as k, loaded_at as t from kb_documents where loaded_at is not null),
-gone as (select distinct {_key('page_id')} as k, deleted_at as t from deleted_pages where deleted_at is not null),
-made as (select {_key('chunk_id')} as k, min(emitted_at) as t from chunks group by 1),
-refs as (
-  select distinct 'chunks' as ref_table, chunk_id as ref_key, {_key('doc_id')} as k, emitted_at as t from chunks
-  union all select distinct 'link_refs', cast(link_id as varchar), {_key('target_page_id')}, seen_at from link_refs),
-seen as (select ref_table, ref_key, r.k, r.t, max(l.t) as last from (select * from refs where k is not null) r left join loads l on l.k = r.k and (r.t is null or l.t <= r.t) group by all),
-lost as (
-  select ref_table, ref_key, t from seen s where last is null
-     or t is not null and exists (select 1 from gone g where g.k = s.k and g.t >= s.last and g.t <= s.t)
-  union all
-  select 'chunk_embeddings', e.chunk_id || '|' || e.provider, e.created_at from chunk_embeddings e left join made m on m.k = {_key('e.chunk_id')}
-  where {_key('e.chunk_id')} is not null and not coalesce(m.t <= e.created_at or (e.created_at is null and m.t is not null), false))
-"""
-
-
-@query("p4_found", P4_SQL + "select distinct ref_table, ref_key, strftime(t, '%Y-%m') as period from lost")
-def p4_found(t):
-    return references.orphan_references(*(t(x) for x in ("kb_documents", "deleted_pages", "chunks", "chunk_embeddings", "link_refs")))
-
-
-@query("p4_counts", P4_SQL + "select ref_table, period, count(*) as orphans from (select distinct ref_table, ref_key, strftime(t, '%Y-%m') as period from lost) group by all")
-def p4_counts(t):
-    return references.orphan_counts(p4_found(t))
+    return dict(SQL)
