@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
+import math
 
-def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & a[k].eqNullSafe(b[k])
-    return cond
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
@@ -103,13 +98,11 @@ def high_water(rows: DataFrame, time: str, by: str) -> DataFrame:
 
 
 def ema(rows: DataFrame, value: str, by: str, order: list[str], alpha: float) -> DataFrame:
-    """Exponential moving average along each group, in closed form: no Python and no gathering of groups.
+    """Exponential moving average along each group, without Python and without gathering groups.
 
-    With n the row's number, ema_n = (1-a)^(n-1) x_1 + sum_{i>1} a (1-a)^(n-i) x_i. Sums of x_i (1-a)^-i would
-    overflow, so the weights of rows far back, below double precision, are left out by a frame of bounded length.
+    The first value starts the average; each further one counts alpha. A row folds over a frame of bounded length:
+    rows further back would weigh less than double precision can show.
     """
-    import math
-
     reach = math.ceil(40 / -math.log10(1 - alpha) / 2.5)
     w = Window.partitionBy(by).orderBy(*order)
     frame = w.rowsBetween(-reach, 0)
