@@ -1 +1,73 @@
-"""Queries."""
+"""Queries on pages, chunks of documents, graph edges and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vellumine.functions import markup as M
+from vellumine.operators import chunking as C
+from vellumine.operators import ingest as I
+from vellumine.operators import statistics as S
+from vellumine.operators.retrieval import latest
+from vellumine.plans.registry import query
+from vellumine.streaming import events as E
+
+
+def pages(t):
+    """The latest load of each page with labels."""
+    k = latest(t("kb_documents").select("doc_id", "space_key", "title", "url", "meta", "version", "loaded_at"), "doc_id", "version", "loaded_at")
+    return k.withColumn("labels", F.from_json("meta", "labels array<string>")["labels"])
+
+
+_PAGES = "k as (select doc_id, max_by({'space_key': space_key, 'meta': meta}, (version, loaded_at)) as x from kb_documents group by doc_id), p as (select doc_id, x.space_key as space_key, x.meta as meta from k)"
+
+
+@query("graph_edges", f"with {_PAGES}, l as (select distinct from_page_id, target_page_id from link_refs where from_page_id is not null and target_page_id is not null) select 'CONTAINS' as type, 'space:' || space_key as src, doc_id as dst from p where length(space_key) > 0 union select 'LABELED_AS', doc_id, 'label:' || unnest(from_json(json_extract(meta, '$.labels'), '[\"VARCHAR\"]')) from p where meta is not null union select 'LINKS_TO', from_page_id, target_page_id from l")
+def graph_edges(t):
+    return I.edges(pages(t), t("link_refs"), "doc_id")
+
+
+@query("edge_counts", f"with {_PAGES}, l as (select distinct from_page_id, target_page_id from link_refs where from_page_id is not null and target_page_id is not null), e as (select 'CONTAINS' as type, 'space:' || space_key as src, doc_id as dst from p where length(space_key) > 0 union select 'LINKS_TO', from_page_id, target_page_id from l) select type, count(*) as edges, count(distinct src) as sources, count(distinct dst) as targets from e group by type")
+def edge_counts(t):
+    return I.edges(pages(t).drop("labels"), t("link_refs"), "doc_id").groupBy("type").agg(F.count(F.lit(1)).alias("edges"), F.countDistinct("src").alias("sources"), F.countDistinct("dst").alias("targets"))
+
+
+@query("chunk_documents")
+def chunk_documents(t):
+    return C.chunk_documents(t("documents").select("doc_id", "text").distinct())
+
+
+@query("chunk_documents_check", "select 0 as beyond_cap, 0 as blank, 0 as uncovered")
+def chunk_documents_check(t):
+    """Chunks beyond the cap, blank chunks, and documents of which less than 99.5 % is covered: there must be none."""
+    c = chunk_documents(t).persist()
+    lengths = c.groupBy("doc_id").agg(F.max("char_end").alias("length"))
+    cover = S.coverage(c.select("doc_id", F.col("char_start").alias("start"), F.col("char_end").alias("end")), lengths, "doc_id")
+    a = c.agg(F.count_if(F.col("token_count") > 800).alias("beyond_cap"), F.count_if(F.length(F.trim("text_md")) == 0).alias("blank"))
+    b = cover.agg(F.count_if(F.col("covered") < 0.995 * F.col("length")).alias("uncovered"))
+    return a.crossJoin(b).select(*[F.col(x).cast("int").alias(x) for x in ("beyond_cap", "blank", "uncovered")])  # one row each
+
+
+@query("markdown_round_trip", "with d as (select distinct chunk_id, text_md from chunks where contains(text_md, '<tr><td>') and not contains(text_md, '```')) select chunk_id, len(regexp_extract_all(text_md, '<tr>')) as rows from d")
+def markdown_round_trip(t):
+    """HTML tables within chunks as Markdown: as many rows come out as went in."""
+    d = t("chunks").where(F.col("text_md").contains("<tr><td>") & ~F.col("text_md").contains("```")).select("chunk_id", "text_md").distinct()
+    table = F.regexp_count(M.html_to_markdown(F.concat(F.lit("<div>"), F.array_join(F.regexp_extract_all("text_md", F.lit(r"(<tr>.*?</tr>)"), F.lit(1)), ""), F.lit("</div>"))), F.lit(r"(?m)^\|(?! ---)"))
+    return d.select("chunk_id", table.alias("rows"))
+
+
+_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+@query("stream_event_windows", "select event_type, time_bucket(interval 1 hour, ts) as start, count(*) as n, round(sum(value), 4) as total from events group by all")
+def stream_event_windows(t):
+    """The event file as a stream, hourly windows, complete results."""
+    batch = t("events")
+    at = batch.inputFiles()[0]
+    s = E.file_stream(batch.sparkSession, at.rsplit("/", 1)[0], batch.schema.simpleString()[7:-1].replace(":", " "), glob=at.rsplit("/", 1)[1]).withColumn("ts", F.col("ts").cast("timestamp"))
+    return E.run_to_end(E.windowed_counts(s), "complete")
+
+
+@query("stream_sessions", "with e as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minute then 0 else 1 end as fresh from events window w as (partition by user_id order by ts)), g as (select *, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as s from e) select user_id, min(ts) as start, max(ts) + interval 30 minute as stop, count(*) as n from g group by user_id, s")
+def stream_sessions(t):
+    return E.sessions(t("events").withColumn("ts", F.col("ts").cast("timestamp")))
