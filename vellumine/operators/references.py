@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -63,7 +62,7 @@ class BloomFilter:
             known = h.notna().to_numpy()
             return pd.Series(f.contains(h.fillna(0).to_numpy(np.int64)) & known)
 
-        return may_contain
+        return may_contain.asNondeterministic()  # else the optimizer runs it on the parents too
 
 
 def presence(loads: DataFrame, deletions: DataFrame | None) -> DataFrame:
@@ -86,31 +85,36 @@ def presence(loads: DataFrame, deletions: DataFrame | None) -> DataFrame:
     return spans.select("k", F.col("t").alias("since"), "until")
 
 
-def orphans(refs: DataFrame, spans: DataFrame, salts: int = SALTS) -> DataFrame:
+def orphans(refs: DataFrame, spans: DataFrame, keys: DataFrame | None = None, expected: int | None = None, salts: int = SALTS) -> DataFrame:
     """The rows of refs(k, t, ...) whose key was not there at t; spans as presence() gives them.
 
     A Bloom filter of the parents' keys proves most orphans at once. The rest is joined exactly, on the key and a
     salt of the reference: a parent that holds a third of all references is met by `salts` tasks, for which the
     spans, far fewer than the references, are repeated. Null keys are no references. A reference without a time is
     an orphan if its key was never there. Rows are kept as they come, repeated ones too.
+
+    keys: where the filter's keys (k) are read, if that is cheaper than the spans; it may hold more than they do.
+    expected: a bound of the number of keys; counted if None.
     """
     spark = refs.sparkSession
     keyed = refs.where("k is not null").withColumn("h", F.xxhash64("k"))
-    expected = spans.select(F.approx_count_distinct("k", 0.05)).first()[0]
-    bloom = BloomFilter(spans.select(F.xxhash64("k").alias("h")).distinct(), expected)
-    keyed = keyed.withColumn("maybe", bloom.probe(spark)("h"))
-    sure = keyed.where("not maybe").drop("h", "maybe")
-    doubt = keyed.where("maybe").drop("h", "maybe").withColumn("salt", F.pmod(F.xxhash64(*[c for c in refs.columns if c != "k"]), F.lit(salts)).cast("int"))
+    keys = spans if keys is None else keys
+    if expected is None:
+        expected = keys.select(F.approx_count_distinct("k", 0.05)).first()[0]
+    bloom = BloomFilter(keys.where("k is not null").select(F.xxhash64("k").alias("h")), expected)
+    others = F.xxhash64(*[c for c in refs.columns if c != "k"])
+    # What the filter refutes gets a key of its own that no parent has, so one pass and one join serve both.
+    keyed = keyed.withColumn("maybe", bloom.probe(spark)("h")).select(*refs.columns, F.when(F.col("maybe"), F.col("k")).otherwise(F.concat(F.lit("\u0000"), others.cast("string"))).alias("jk"), F.pmod(others, F.lit(salts)).cast("int").alias("salt"))
     wide = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    r, s = doubt.alias("r"), wide.alias("s")
-    there = (F.col("r.k") == F.col("s.k")) & (F.col("r.salt") == F.col("s.salt")) & (
+    r, s = keyed.alias("r"), wide.alias("s")
+    there = (F.col("r.jk") == F.col("s.k")) & (F.col("r.salt") == F.col("s.salt")) & (
         F.col("r.t").isNull() | ((F.col("r.t") >= F.col("s.since")) & (F.col("s.until").isNull() | (F.col("r.t") < F.col("s.until"))))
     )
-    return sure.unionByName(r.join(s, there, "left_anti").drop("salt"))
+    return r.join(s, there, "left_anti").select(*refs.columns)
 
 
-def _refs(df: DataFrame, name: str, target: str, time: str, key: Column) -> DataFrame:
-    return df.select(clean_key(F.col(target)).alias("k"), F.col(time).cast("timestamp").alias("t"), F.lit(name).alias("ref_table"), key.alias("ref_key"))
+def _refs(df: DataFrame, name: str, target: Column, time: str, key: Column) -> DataFrame:
+    return df.select(target.alias("k"), F.col(time).cast("timestamp").alias("t"), F.lit(name).alias("ref_table"), key.alias("ref_key"))
 
 
 def orphan_references(kb_documents: DataFrame, deleted_pages: DataFrame, chunks: DataFrame, chunk_embeddings: DataFrame, link_refs: DataFrame) -> DataFrame:
@@ -119,11 +123,16 @@ def orphan_references(kb_documents: DataFrame, deleted_pages: DataFrame, chunks:
     Keys are compared trimmed and in lower case; null and blank ones are no references. A null reference time
     gives a null period. Rows without any ref_key keep a null one.
     """
-    pages = presence(kb_documents.select(clean_key(F.col("doc_id")).alias("k"), F.col("loaded_at").alias("t")), deleted_pages.select(clean_key(F.col("page_id")).alias("k"), F.col("deleted_at").alias("t")))
-    made = presence(chunks.select(clean_key(F.col("chunk_id")).alias("k"), F.col("emitted_at").alias("t")), None)
-    to_pages = _refs(chunks, "chunks", "doc_id", "emitted_at", F.col("chunk_id")).unionByName(_refs(link_refs, "link_refs", "target_page_id", "seen_at", F.col("link_id").cast("string")))
-    to_chunks = _refs(chunk_embeddings, "chunk_embeddings", "chunk_id", "created_at", F.concat("chunk_id", F.lit("|"), "provider"))
-    lost = orphans(to_pages, pages).unionByName(orphans(to_chunks, made))
+    # one filter and one join serve both kinds of parents: the kind is a part of the key
+    page, chunk = (lambda c: F.concat(F.lit("p:"), clean_key(F.col(c)))), (lambda c: F.concat(F.lit("c:"), clean_key(F.col(c))))
+    loads = kb_documents.select(page("doc_id").alias("k"), F.col("loaded_at").alias("t"))
+    made = chunks.select(chunk("chunk_id").alias("k"), F.col("emitted_at").alias("t"))
+    spans = presence(loads, deleted_pages.select(page("page_id").alias("k"), F.col("deleted_at").alias("t"))).unionByName(presence(made, None))
+    refs = _refs(chunks, "chunks", page("doc_id"), "emitted_at", F.col("chunk_id"))
+    refs = refs.unionByName(_refs(link_refs, "link_refs", page("target_page_id"), "seen_at", F.col("link_id").cast("string")))
+    refs = refs.unionByName(_refs(chunk_embeddings, "chunk_embeddings", chunk("chunk_id"), "created_at", F.concat("chunk_id", F.lit("|"), "provider")))
+    bound = kb_documents.count() + chunks.count()  # of the files' footers: no column is read
+    lost = orphans(refs, spans, loads.select("k").unionByName(made.select("k")), bound)
     return lost.select("ref_table", "ref_key", F.date_format("t", "yyyy-MM").alias("period")).distinct()
 
 
