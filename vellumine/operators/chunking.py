@@ -74,7 +74,11 @@ def _packed(text: str, units: list[tuple[int, int]], limits: Limits, keep: int,
 def _framed(text: str, start: int, lines: list[tuple[int, int]], before: str, after: str, limits: Limits, keep: int, name: str) -> list[Piece]:
     """As _packed() for lines that need a frame around them, such as a fence or a table's head."""
     room = Limits(max(1, limits.hard - tokens(before + after) - 1), limits.overlap)
-    return [replace(p, text=before + p.text + after) for p in _packed(text, lines, room, keep, name)]
+    out = []
+    for p in _packed(text, lines, room, keep, name):
+        framed = replace(p, text=before + p.text + after)
+        out += [framed] if tokens(framed.text) <= limits.hard else layered(text, p.start, p.end, limits, False, 1)  # one line beyond the cap
+    return out
 
 
 def layered(text: str, start: int, end: int, limits: Limits, headings: bool = True, level: int = 0) -> list[Piece]:
@@ -91,18 +95,18 @@ def layered(text: str, start: int, end: int, limits: Limits, headings: bool = Tr
                 inner = layered(text, a, b, limits, False)
                 out += [replace(p, strategy="heading") if p.strategy == "no-split" else p for p in inner]
             return out
-    fence = FENCE.match(part.strip())
+    fence = None if level else FENCE.match(part.strip())
     if fence:
         at = start + part.index(fence[0][:3]) + 4 + len(fence[1])
         return _framed(text, start, _units(text, at, at + len(fence[2]), re.compile("\n")), f"```{fence[1]}\n", "\n```", limits, max(1, limits.overlap // 20), "code-fence-lines")
-    rows = [(a, b) for a, b in _units(text, start, end, re.compile("\n")) if "|" in text[a:b]]
+    rows = [] if level else [(a, b) for a, b in _units(text, start, end, re.compile("\n")) if "|" in text[a:b]]
     if len(rows) > 3 and sum(b - a for a, b in rows) > 0.5 * len(part):
         head = text[rows[0][0] : rows[1][1]] + "\n"
         if tokens(head) < limits.hard // 2:
             first, last = rows[0][0], rows[-1][1]
             around = layered(text, start, first, limits, False) if first > start else []
             after = layered(text, last, end, limits, False) if last < end else []
-            return [*around, *_framed(text, start, rows[2:], head, "", limits, max(1, limits.overlap // 30), "table-rows"), *after]
+            return [*around, *_framed(text, start, _units(text, rows[2][0], last, re.compile("\n")), head, "", limits, max(1, limits.overlap // 30), "table-rows"), *after]
     for gap, keep, name in ((PARAGRAPH, limits.overlap // 100, "paragraph"), (SENTENCE, limits.overlap // 50, "sentence"), (WORD, limits.overlap // 2, "token-window")):
         units = _units(text, start, end, gap)
         if len(units) > 1:

@@ -21,15 +21,12 @@ EVENT = "ts string, level string, stage string, rid string, op string, status st
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, malformed lines with their file). Blank lines are skipped. No inference: the schema is stated.
-
-    Both come from one cached-free scan definition; columns that aren't read are pruned.
-    """
+    """(rows with their run_id, malformed lines with their file). Blank lines are skipped. No inference: the schema is stated."""
     full = T.StructType(list(_struct(schema).fields) + [T.StructField("_corrupt", T.StringType())])
-    df = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    df = df.withColumn("run_id", F.regexp_extract(F.col("_metadata.file_path"), r"/runs/([^/]+)/", 1))
-    bad = spark.read.text(path).where(F.length(F.trim("value")) > 0).select("value", F.col("_metadata.file_path").alias("file"), F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})["_corrupt"].alias("c")).where("c is not null").select("file", "value")
-    return df.where("_corrupt is null").drop("_corrupt"), bad
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0).select("value", F.col("_metadata.file_path").alias("file"))
+    parsed = lines.withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    rows = parsed.where("r._corrupt is null").select("r.*", F.regexp_extract("file", r"/runs/([^/]+)/", 1).alias("run_id")).drop("_corrupt")
+    return rows, parsed.where("r._corrupt is not null").select("file", "value")
 
 
 def _struct(ddl: str) -> T.StructType:
@@ -52,7 +49,7 @@ def read_topics(spark: SparkSession, root: str, include: list[str] | None = None
     """id, kind (topic or map), path, xml, sha256 of the XML topic files below a folder; other .xml files are told by their root element."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{dita,ditamap,xml}").load(root)
     rel = F.regexp_replace(F.col("path"), f"^.*?{re.escape(str(root).rstrip('/'))}/", "")
-    rows = df.select(rel.alias("path"), F.decode("content", F.lit("UTF-8")).alias("xml"), F.sha2("content", 256).alias("sha256"))
+    rows = df.select(rel.alias("path"), F.decode("content", "UTF-8").alias("xml"), F.sha2("content", 256).alias("sha256"))
     rows = rows.where(included(F.col("path"), include or ["*.dita", "*.xml", "*.ditamap"], exclude or []))
     is_map = F.lower("path").endswith(".ditamap") | F.col("xml").rlike(r"(?s)<(?:book)?map[\s>]") & ~F.lower("path").endswith(".dita")
     kind = F.when(is_map, "map").when(F.col("xml").rlike(r"(?s)<(?:topic|concept|task|reference|glossentry)[\s>]"), "topic")
