@@ -218,9 +218,14 @@ def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
     mass = np.where(ja > 3 * words, ja / 2.4, words)  # in words
     best = cosine.max(1)
     usable = (mass >= 2) & (all_grams - ja >= 2.2 * words) & (best / np.sqrt(np.maximum(1, all_grams)) >= LEAST / 4) & (grams >= 0.6 * all_grams)
+    # Japanese script tells the language even where its words are new
+    kana = np.add.reduceat(((lc >= JA) & (lc < JA + 11)).astype(np.int32), us)
+    script = (ja >= 4) & (ja > 0.7 * all_grams) & (kana >= 0.15 * ja)
+    usable |= script
     value = np.where(usable[:, None], score / np.maximum(1, all_grams)[:, None] * mass[:, None], 0.0)
     spread_of = np.abs(p.table).mean() + 1e-9
     value /= spread_of
+    value[script, LANGUAGES.index("ja")] += mass[script]
     # Viterbi over the units of each text
     new = np.concatenate([[True], owner[1:] != owner[:-1]])
     begin = np.flatnonzero(new)

@@ -121,6 +121,8 @@ def search(x: np.ndarray, q: np.ndarray, k: int, least: float, relax: float, own
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     a, b, s = (np.concatenate(c) for c in zip(*out))
+    if not len(a):
+        return a, b, np.zeros(0)
     s = np.concatenate([np.einsum("ij,ij->i", q[a[i : i + 65536]].astype(np.float64), x[b[i : i + 65536]].astype(np.float64)) for i in range(0, len(a), 65536)])
     fine = s >= least
     a, b, s = a[fine], b[fine], s[fine]
