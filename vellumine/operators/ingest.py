@@ -89,3 +89,66 @@ def directory_context(path: Column) -> tuple[Column, Column]:
     folders = F.slice(F.split(F.lower(path), "/"), F.lit(1), F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0)))
     words = F.filter(F.flatten(F.transform(folders, lambda f: F.split(f, "[-_ ]"))), lambda w: (F.length(w) > 2) & ~w.isin("the", "and", "for", "src", "dita", "topics", "content", "docs"))
     return F.try_element_at(folders, F.lit(1)), F.array_sort(F.array_distinct(words))
+
+
+def map_raw_pages(raw: DataFrame, base_url: str) -> DataFrame:
+    """Pages of raw service records (column raw, JSON): authors given as a text or an object, bodies and attachments under either name.
+
+    Fields are read from the parsed record (variant) where they are used; what isn't there is null.
+    """
+    v = F.try_parse_json("raw")
+    get = lambda *paths: F.coalesce(*[F.try_variant_get(v, p, "string") for p in paths])
+    user = lambda f: F.struct(get(f"$.{f}.accountId", f"$.{f}Id", f"$.{f}").alias("account_id"), get(f"$.{f}.displayName").alias("display_name"))
+    files = F.from_json(F.coalesce(F.get_json_object("raw", "$.attachments"), F.lit("[]")), "array<struct<id:string,title:string,filename:string,mediaType:string,type:string,fileSize:bigint,size:bigint,_links:struct<download:string>>>")
+    attachments = F.transform(files, lambda a: F.struct(a["id"].alias("id"), F.coalesce(a["title"], a["filename"]).alias("filename"), F.coalesce(a["mediaType"], a["type"]).alias("media_type"), F.coalesce(a["fileSize"], a["size"]).alias("file_size"), U.absolute(base_url, a["_links"]["download"]).alias("download_url")))
+    storage, adf = get("$.body.storage.value"), F.coalesce(get("$.body.atlas_doc_format.value"), F.get_json_object("raw", "$.body.atlas_doc_format.value"))
+    return raw.select(
+        get("$.id").alias("id"), get("$.title").alias("title"), get("$.spaceId").alias("space_id"), F.try_variant_get(v, "$.version.number", "int").alias("version"), get("$.createdAt").alias("created_at"), get("$.version.createdAt", "$.updatedAt").alias("updated_at"),
+        U.absolute(base_url, get("$._links.webui")).alias("url"), F.when(adf.isNotNull(), "adf").when(storage.isNotNull(), "storage").alias("body_repr"), storage.alias("body_storage"), adf.alias("body_adf"), attachments.alias("attachments"), user("author").alias("created_by"),
+    )
+
+
+def normal_attachments(names: Column, objects: Column) -> Column:
+    """Attachments given as names or as objects, as objects."""
+    plain = F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.struct(n.alias("filename"), F.lit(None).cast("string").alias("download_url")))
+    return F.concat(plain, F.transform(F.coalesce(objects, F.array().cast("array<struct<filename:string,download_url:string>>")), lambda o: F.struct(o["filename"].alias("filename"), o["download_url"].alias("download_url"))))
+
+
+def space_key(known: Column, url: Column) -> Column:
+    """The known key, else that in the URL, else __unknown__."""
+    return F.coalesce(F.nullif(known, F.lit("")), F.nullif(F.regexp_extract(F.coalesce(url, F.lit("")), "/spaces/([A-Z0-9]+)/pages/", 1), F.lit("")), F.lit("__unknown__"))
+
+
+def resolve_reference(path: Column, target: Column) -> Column:
+    """The id of a topic or map that a reference in a file at `path` names; null for external ones."""
+    t = F.regexp_replace(F.lower(target), "#.*$", "")
+    folder = F.regexp_replace(F.lower(path), "[^/]*$", "")
+    full = F.regexp_replace(F.regexp_replace(F.concat(folder, t), r"(^|/)\./", "$1"), r"[^/]+/\.\./", "")
+    kind = F.when(t.endswith(".ditamap"), "map:").otherwise("topic:")
+    return F.when(target.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:") | (F.length(target) == 0), None).when(t == "", F.concat(F.lit("topic:"), F.regexp_replace(F.lower(path), r"\.[^./]+$", ""))).otherwise(F.concat(kind, F.regexp_replace(full, r"\.[^./]+$", "")))
+
+
+def aggregate_labels(labels: Column, tags: Column, collection: Column, meta: Column, maps: Column) -> Column:
+    """All labels of a topic: its own, path tags, collection, 'name:value' of a map of metadata, and the maps that hold it; sorted, once each."""
+    strings = lambda c: F.coalesce(c, F.array().cast("array<string>"))
+    pairs = F.transform(F.map_entries(F.coalesce(meta, F.create_map().cast("map<string,string>"))), lambda e: F.concat_ws(":", e["key"], e["value"]))
+    slugs = F.transform(strings(maps), lambda m: F.concat(F.lit("map:"), F.trim(F.lit("-"), F.regexp_replace(F.lower(m), "[^a-z0-9]+", "-"))))
+    return F.array_sort(F.array_distinct(F.array_compact(F.concat(strings(labels), strings(tags), F.array(collection), pairs, slugs))))
+
+
+def title_mentions(documents: DataFrame, key: str = "doc_id", title: str = "title", text: str = "text", longest: int = 8) -> DataFrame:
+    """REFERENCES edges src -> dst: the text of src names the title of dst, word by word. Titles of more than `longest` words, and of one, are left out.
+
+    No pair of documents is compared: runs of words of the texts that begin and end as some title does are met with
+    the titles on their hash. The first two words of the titles go as a Bloom filter would, by a semi-join.
+    """
+    words = lambda c: F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    named = documents.select(F.col(key).alias("dst"), words(F.col(title)).alias("w")).where(F.size("w").between(2, longest))
+    named = named.select("dst", F.size("w").alias("n"), F.concat_ws(" ", F.try_element_at("w", F.lit(1)), F.try_element_at("w", F.lit(2))).alias("head"), F.array_join("w", " ").alias("name")).distinct()
+    lengths = named.select("head", "n").distinct()
+    rows = documents.select(F.col(key).alias("src"), words(F.col(text)).alias("w")).where(F.size("w") > 1)
+    heads = rows.select("src", "w", F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.try_element_at("w", i), F.try_element_at("w", i + 1)))).alias("p", "head"))
+    # only the words that a title can span go along, not the whole text
+    runs = heads.select("src", "head", F.slice("w", F.col("p") + 1, F.lit(longest)).alias("s"))
+    met = runs.join(lengths, "head").select("src", F.array_join(F.slice("s", F.lit(1), F.col("n")), " ").alias("name")).distinct()
+    return met.join(named.select("dst", "name"), "name").where("src <> dst").select("src", "dst", F.lit("REFERENCES").alias("type"), F.lit(0.8).alias("confidence")).distinct()

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vellumine.functions import markup as M
+from vellumine.functions import queries as Q
 from vellumine.operators import chunking as C
+from vellumine.operators import embedding as B
 from vellumine.operators import ingest as I
 from vellumine.operators import statistics as S
 from vellumine.operators.retrieval import latest
@@ -71,3 +73,44 @@ def stream_event_windows(t):
 @query("stream_sessions", "with e as (select user_id, ts, case when ts - lag(ts) over w < interval 30 minute then 0 else 1 end as fresh from events window w as (partition by user_id order by ts)), g as (select *, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as s from e) select user_id, min(ts) as start, max(ts) + interval 30 minute as stop, count(*) as n from g group by user_id, s")
 def stream_sessions(t):
     return E.sessions(t("events").withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+_W = r"list_transform(regexp_extract_all(coalesce(@, ''), '[\p{L}\p{N}]+'), lambda x: lower(x))"
+
+
+@query("suggested_edges_title", f"with {_PAGES}, kt as (select doc_id, max_by(title, (version, loaded_at)) as title from (select * replace (coalesce(title, '') as title) from kb_documents) group by doc_id), t as (select doc_id as dst, ' ' || array_to_string(w, ' ') || ' ' as name from (select doc_id, {_W.replace('@', 'title')} as w from kt) where len(w) between 2 and 8), c as (select distinct doc_id as src, ' ' || array_to_string({_W.replace('@', 'text_md')}, ' ') || ' ' as body from chunks where length(text_md) > 0 and doc_id is not null) select distinct src, dst, 'REFERENCES' as type, 0.8::double as confidence from c join t on contains(body, name) and src <> dst")
+def suggested_edges_title(t):
+    """Chunks that name the title of a page."""
+    titles = pages(t).select("doc_id", "title", F.lit("").alias("text"))
+    bodies = t("chunks").where("length(text_md) > 0 and doc_id is not null").select("doc_id", F.lit("").alias("title"), F.col("text_md").alias("text")).distinct()
+    return I.title_mentions(titles.unionByName(bodies))
+
+
+@query("space_keys", "select distinct doc_id, version, coalesce(nullif(space_key, ''), nullif(regexp_extract(coalesce(url, ''), '/spaces/([A-Z0-9]+)/pages/', 1), ''), '__unknown__') as space from kb_documents")
+def space_keys(t):
+    return t("kb_documents").select("doc_id", "version", I.space_key(F.col("space_key"), F.col("url")).alias("space")).distinct()
+
+
+@query("link_targets", "select coalesce(target_type, 'unknown') as kind, count(*) as links, count(distinct lower(trim(target_page_id))) as targets, count(*) filter (anchor is not null) as anchored from (select distinct link_id, target_type, target_page_id, anchor from link_refs) group by 1")
+def link_targets(t):
+    r = t("link_refs").select("link_id", "target_type", "target_page_id", "anchor").distinct()
+    return r.groupBy(F.coalesce("target_type", F.lit("unknown")).alias("kind")).agg(F.count(F.lit(1)).alias("links"), F.countDistinct(F.lower(F.trim("target_page_id"))).alias("targets"), F.count("anchor").alias("anchored"))
+
+
+@query("embedding_load", "with e as (select distinct chunk_id, provider from chunk_embeddings where provider = 'dummy' and chunk_id is not null), c as (select distinct chunk_id from chunks where chunk_id is not null) select count(*) as vectors, count(*) filter (fresh) as fresh from (select chunk_id, true as fresh from c union all select chunk_id, false from e where chunk_id not in (select chunk_id from c))")
+def embedding_load(t):
+    """A load of all chunks beside vectors whose text isn't known: those of the chunks are made anew, the others stay."""
+    old = t("chunk_embeddings").where("provider = 'dummy' and chunk_id is not null").select("chunk_id", "provider").distinct().select("chunk_id", "provider", F.lit(8).alias("dim"), F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("array<float>").alias("embedding"))
+    out = B.load(t("chunks").select("chunk_id", "doc_id", "text_md").distinct(), old, "dummy", 8)
+    return out.agg(F.count(F.lit(1)).alias("vectors"), F.count("embedding").alias("fresh"))
+
+
+@query("query_classes", "select distinct doc_id, version, regexp_matches(lower(coalesce(title, '')), '\\b(n2s|navigate\\s+to\\s+saas|navigate-to-saas|lifecycle|methodology|sprint\\s+0|sprint\\s+zero|discovery|build|optimize)\\b') as process from kb_documents")
+def query_classes(t):
+    return t("kb_documents").select("doc_id", "version", Q.is_process(F.col("title")).alias("process")).distinct()
+
+
+@query("run_preflight", "with c as (select distinct chunk_id, json_extract_string(meta, '$.run') as run_id, token_count from chunks) select run_id, count(*) as documents, count(*) filter (coalesce(token_count / 100.0, 1.0) < 0.6) as below, count(*) filter (coalesce(token_count / 100.0, 1.0) < 0.6) <= 0.2 * count(*) as ready from c group by run_id")
+def run_preflight(t):
+    c = t("chunks").select("chunk_id", F.get_json_object("meta", "$.run").alias("run_id"), (F.col("token_count") / 100.0).alias("quality_score")).distinct()
+    return B.preflight(c)
