@@ -15,8 +15,10 @@ from vellumine.session import cut_lineage
 
 #: Components of a signature (one byte each), orders it is sorted in, and the least common prefix of candidates.
 WIDTH, TREES, DEPTH = 48, 16, 3
-#: A region (records with a common prefix) beyond this size is searched one component deeper, and so on.
-REGION = 256
+#: A region (records with a common prefix) beyond this size is searched one component deeper, and so on; within it all
+#: pairs meet. Its signatures, under 1 MB, are what a task holds. With the largest region s times this size and
+#: similarity x, a tree still finds a pair with a chance of about max(1/s, x^depth), and there are TREES trees.
+REGION = 16384
 _SEEDS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
