@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -106,16 +109,53 @@ def merge_variants(hits: list[DataFrame], top_k: int) -> DataFrame:
     return rank_top(best, top_k, F.desc("score"), F.asc_nulls_last("chunk_id"))
 
 
-def batch_dense(queries: DataFrame, embeddings: DataFrame, top_k: int) -> DataFrame:
+def batch_dense(queries: DataFrame, embeddings: DataFrame, top_k: int, block: int = 4096) -> DataFrame:
     """For each of a stated set of queries(query_id, q) the top_k vectors(chunk_id, embedding): query_id, chunk_id, score, rank.
 
-    The queries, a bounded list, are broadcast; each task keeps the best top_k of its own rows for each query
-    before anything is shuffled (a window limit by rank).
+    The queries go to all tasks in blocks of bounded size, each one pass over the vectors. A task scores its rows by
+    matrix products and passes on what may be among the top_k of a query, ties included; only that is shuffled.
+    Scores are rounded to nine digits. Vectors of another length than a query, of nulls or NaN are left out for it,
+    null ids too; repeated rows count once.
     """
-    pairs = embeddings.join(F.broadcast(queries), F.size("q") == F.size("embedding"))
-    scored = pairs.select("query_id", "chunk_id", F.round(V.cosine(F.col("embedding"), F.col("q")), 9).alias("score")).distinct()
+    spark = embeddings.sparkSession
+    rows = embeddings.where("chunk_id is not null and embedding is not null").select(F.col("chunk_id").cast("string").alias("chunk_id"), "embedding")
+    found, held = None, []
+
+    def scan(part: list[tuple[str, list[float]]]) -> DataFrame:
+        shared = spark.sparkContext.broadcast(part)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            by_dim: dict[int, tuple[list[str], np.ndarray]] = {}
+            for dim in {len(q) for _, q in shared.value}:
+                mine = [(k, q) for k, q in shared.value if len(q) == dim]
+                m = np.array([q for _, q in mine], np.float64)
+                by_dim[dim] = [k for k, _ in mine], m / (np.sqrt((m * m).sum(1, keepdims=True)) + 1e-8)
+            for b in batches:
+                n = np.array([len(v) if v is not None else -1 for v in b.column(1)])
+                for dim, (names, m) in by_dim.items():
+                    at = np.flatnonzero(n == dim)
+                    x = np.array([[np.nan if y is None else y for y in v] for v in b.column(1).take(pa.array(at)).to_pylist()], np.float64).reshape(-1, dim)
+                    fine = np.isfinite(x).all(1)
+                    at, x = at[fine], x[fine]
+                    if not len(at):
+                        continue
+                    s = np.round(m @ (x / (np.sqrt((x * x).sum(1, keepdims=True)) + 1e-8)).T, 9)
+                    cut = np.partition(s, -top_k, axis=1)[:, -top_k] if len(at) > top_k else np.full(len(names), -np.inf)
+                    i, j = np.nonzero(s >= cut[:, None])
+                    yield pa.RecordBatch.from_arrays([pa.array([names[k] for k in i], pa.string()), b.column(0).take(pa.array(at[j])), pa.array(s[i, j])], names=["query_id", "chunk_id", "score"])
+
+        return rows.mapInArrow(run, "query_id string, chunk_id string, score double")
+
+    stated = queries.select(F.col("query_id").cast("string"), "q").distinct().orderBy("query_id")
+    for q in stated.toLocalIterator():
+        held.append((q[0], [float(v) for v in q[1]]))
+        if len(held) == block:
+            found = scan(held) if found is None else found.unionByName(scan(held))
+            held = []
+    if held or found is None:
+        found = scan(held) if found is None else found.unionByName(scan(held))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("chunk_id"))
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
+    return found.distinct().withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_k)
 
 
 def cap_per_document(hits: DataFrame, most: int, *by: str) -> DataFrame:

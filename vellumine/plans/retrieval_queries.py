@@ -124,22 +124,33 @@ def search_with_fallback(t):
     return R.search_or_fallback(t("chunks"), "zzqq retention tabel", 8)
 
 
-_QS = "q as (select chunk_id as query_id, e from v where chunk_id like '%:0001' and list_inner_product(e, e) > 0 order by chunk_id limit 20),"
+# The vectors of pages whose id is divisible by 100 ask.
+_QS = "q as (select chunk_id as query_id, e from v where try_cast(split_part(chunk_id, ':', 1) as bigint) % 100 = 0 and list_inner_product(e, e) > 0),"
 BATCH = f"with {_VEC} {_QS} bs as (select distinct query_id, v.chunk_id, round(list_inner_product(v.e, q.e) / ((sqrt(list_inner_product(v.e, v.e)) + 1e-8) * (sqrt(list_inner_product(q.e, q.e)) + 1e-8)), 9) as score from v, q), br as (select * from (select *, row_number() over (partition by query_id order by score desc, chunk_id) as rank from bs) where rank <= 8)"
 
 
 def batch(t):
     e = t("chunk_embeddings").where(f"provider = '{PROVIDER}' and dim = {DIM} and size(embedding) = {DIM}").where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x))).select("chunk_id", "embedding").distinct()
-    q = e.where("chunk_id like '%:0001'").where(F.exists("embedding", lambda x: x != 0)).orderBy("chunk_id").limit(20).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("q"))
+    q = e.where("try_cast(split_part(chunk_id, ':', 1) as bigint) % 100 = 0").where(F.exists("embedding", lambda x: x != 0)).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("q"))
     return R.batch_dense(q, e, 8)
 
 
 @query("batch_retrieval", BATCH + " select * from br")
 def batch_retrieval(t):
-    """Twenty stated queries in one job."""
+    """All stated queries in one job, against all vectors."""
     return batch(t)
 
 
+@query("embeddings_topk", "with e as (select vec_id, label, cast(embedding as double[]) as e from embeddings), s as (select q.vec_id as query_id, x.vec_id, q.label = x.label as same, round(list_inner_product(q.e, x.e) / ((sqrt(list_inner_product(q.e, q.e)) + 1e-8) * (sqrt(list_inner_product(x.e, x.e)) + 1e-8)), 9) as score from e q, e x where q.vec_id % 100 = 0), r as (select *, row_number() over (partition by query_id order by score desc, cast(vec_id as varchar)) as rank from s) select query_id, count(*) as hits, count(*) filter (same) as same_label, max(score) as best from r where rank <= 10 group by query_id")
+def embeddings_topk(t):
+    """The ten nearest of every hundredth vector, and how many have its label."""
+    e = t("embeddings")
+    near = R.batch_dense(e.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), e.select(F.col("vec_id").alias("chunk_id"), "embedding"), 10)
+    ids = near.select(F.col("query_id").cast("bigint").alias("query_id"), F.col("chunk_id").cast("bigint").alias("vec_id"), "score")
+    a, b = e.select(F.col("vec_id").alias("query_id"), F.col("label").alias("l1")), e.select("vec_id", F.col("label").alias("l2"))
+    return ids.join(a, "query_id").join(b, "vec_id").groupBy("query_id").agg(F.count(F.lit(1)).alias("hits"), F.count_if(F.col("l1") == F.col("l2")).alias("same_label"), F.max("score").alias("best"))
+
+
 _BH = BATCH + ", ch as (select distinct chunk_id, doc_id from chunks), kt as (select doc_id, max_by(title, (version, loaded_at)) as title, max_by(url, (version, loaded_at)) as url from (select * replace (coalesce(title, '') as title, coalesce(url, '') as url) from kb_documents) group by doc_id), bh as (select br.*, doc_id, title, url from br join ch using (chunk_id) left join kt using (doc_id))"
 _QUAL = _BH + """, n as (select *, count(*) over (partition by query_id) as n, count(*) over (partition by query_id, doc_id) as pd, count(*) over (partition by query_id, score) as ties from bh),
 hq as (select query_id, count(*) as hits, count(distinct doc_id) as unique_docs, round(abs(sum(-log2(pd / n) / n)), 6) as entropy, round(avg(case when ties > 1 and n > 1 then 1.0 else 0 end), 6) as tie_rate, round(1 - count(distinct chunk_id || '|' || doc_id) / count(*), 6) as duplication_rate,
