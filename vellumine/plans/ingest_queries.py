@@ -58,9 +58,6 @@ def markdown_round_trip(t):
     return d.select("chunk_id", table.alias("rows"))
 
 
-_EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
-
 @query("stream_event_windows", "select event_type, time_bucket(interval 1 hour, ts) as start, count(*) as n, round(sum(value), 4) as total from events group by all")
 def stream_event_windows(t):
     """The event file as a stream, hourly windows, complete results."""

@@ -16,9 +16,6 @@ def quality_distribution(t):
     return h.agg(S.index_quantile(0.5).alias("p50"), S.index_quantile(0.9).alias("p90"), F.round(F.sum(F.when(F.col("v") < 0.6, F.col("n")).otherwise(0)) / F.max("total"), 6).alias("below_share"), F.max("total").alias("n"))
 
 
-_EXCL = "least(greatest(floor((n + 1) * {i} / {k}), 1), n - 1)"
-
-
 def _describe_sql(source: str, i: int, k: int, least: int) -> str:
     j = f"least(greatest(((n + 1) * {i}) // {k}, 1), n - 1)"
     d = f"((n + 1) * {i} - {j} * {k})"

@@ -163,11 +163,6 @@ def canon_slugs(t):
     return k.select("doc_id", T.canon(F.col("title")).alias("canon"), T.doc_slug(F.col("url"), F.col("title")).alias("slug"), T.query_slug(F.col("title")).alias("query_slug")).distinct()
 
 
-_URLS = [
-    "https://wiki.example.invalid/page?utm_source=test&utm_medium=email&real_param=value", "https://wiki.example.invalid/page?utm_source=test#section1", "https://a.example.invalid/p?x=1&x=2&y=&_ga=3#f", "/relative/path?gclid=9", "plain",
-]
-
-
 @query("urls_normalized", r"""with u as (select distinct link_id, coalesce(target_url, 'https://h.example.invalid/p') || case link_id % 4 when 0 then '?utm_source=a&x=1' when 1 then '?x=1&x=2&fbclid=z&y=' when 2 then '?gclid=q#part' else '' end as raw, target_url from link_refs),
 p as (select *, regexp_extract(raw, '^([^?#]*)', 1) as base, regexp_extract(raw, '^[^?#]*\?([^#]*)', 1) as q, regexp_extract(raw, '(#.*)$', 1) as frag from u),
 k as (select *, list_filter(string_split(q, '&'), lambda x: x <> '' and not list_contains(['utm_source','utm_medium','utm_campaign','utm_term','utm_content','fbclid','gclid','mc_cid','mc_eid','_ga','_gl'], split_part(x, '=', 1))) as kept from p),

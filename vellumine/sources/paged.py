@@ -9,7 +9,7 @@ import json
 import os
 import time
 from collections.abc import Iterator
-from urllib.parse import parse_qs, quote, urlparse
+from urllib.parse import quote, urlparse
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, InputPartition
@@ -111,7 +111,3 @@ class PagedSource(DataSource):
 def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedSource)
-
-
-def query_of(url: str) -> dict[str, list[str]]:
-    return parse_qs(urlparse(url).query)
