@@ -211,7 +211,7 @@ def test_signatures_estimate_similarity():
     h, o, _, _ = nearduplicates.shingles([a, b], 3)
     s = nearduplicates.signatures(h, o, 2)
     assert abs((s[0] == s[1]).mean() - 298 / 498) < 0.22
-    perms = nearduplicates._full_orders()
+    perms = nearduplicates.orders()
     assert all(sorted(p) == list(range(nearduplicates.WIDTH)) for p in perms) and len({tuple(p[:3]) for p in perms.tolist()}) == nearduplicates.TREES
 
 

@@ -22,17 +22,13 @@ REGION = 16384
 _SEEDS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def _orders() -> np.ndarray:
-    """The orders of the components: each tree starts with components that no other tree starts with."""
-    step = WIDTH // TREES
-    return np.array([[(t * step + k) % WIDTH if k < step else (t * step + k * (2 * t + 1)) % WIDTH for k in range(WIDTH)] for t in range(TREES)])
-
-
-def _full_orders() -> np.ndarray:
-    """_orders() as permutations: repeated components go, missing ones follow."""
+def orders() -> np.ndarray:
+    """The orders of the components, one per tree: it starts with DEPTH components that no other tree starts with."""
     out = []
-    for row in _orders():
-        seen = list(dict.fromkeys(row.tolist()))
+    for t in range(TREES):
+        first = [(t * DEPTH + k) % WIDTH for k in range(DEPTH)]
+        rest = [(t * DEPTH + k * (2 * t + 1)) % WIDTH for k in range(WIDTH)]
+        seen = list(dict.fromkeys(first + rest))
         out.append(seen + [c for c in range(WIDTH) if c not in set(seen)])
     return np.array(out)
 
@@ -98,7 +94,7 @@ def forest(reps: DataFrame, threshold: float) -> DataFrame:
     is searched at the next component, and so on, as deep as it is dense. Neighbours whose whole signatures agree
     too little for the threshold are dropped at once. Rows are streamed; the window holds REGION records.
     """
-    orders = _full_orders()
+    by_tree = orders()
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("tree", pa.int32()), ("sig", pa.binary()), ("cls", pa.int64())])
@@ -107,7 +103,7 @@ def forest(reps: DataFrame, threshold: float) -> DataFrame:
                 continue
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, WIDTH)
             for t in range(TREES):
-                rows = np.ascontiguousarray(sig[:, orders[t]])
+                rows = np.ascontiguousarray(sig[:, by_tree[t]])
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), t, np.int32)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary()), b.column(0)], schema=schema)
 
     # Share of equal bytes at similarity s is s + (1 - s) / 256; 3.5 standard deviations below the threshold are kept.

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellumine.llm.chars import BREAK, DIGIT, LETTER, MARKED, PUNCT, SPACE, UPPER, Block, blocks, range_hashes, spread
+from vellumine.llm.chars import BREAK, DIGIT, LETTER, MARKED, PUNCT, SPACE, UPPER, Block, blocks, range_hashes
 
 #: The most common function words of the nine languages of the corpus.
 COMMON = """
@@ -216,9 +216,7 @@ def scan(texts: list[str]) -> dict[str, np.ndarray]:
         [7, 5, 8, 4, 9, 2, 4, 6, 0, 3], 1,
     ).astype(np.int8)
     # a short line without a mark continues running text where its neighbours do
-    out["common_line"], out["line_words"] = line_common, line_words
     start_low = (cls[first] & (LETTER | UPPER)) == LETTER if m else np.zeros(0, bool)
-    out["start_low"] = start_low
     sym = out["symbol"]
     if m:
         before = np.where(np.concatenate([[False], doc_of_line[1:] == doc_of_line[:-1]]), np.concatenate([[9], sym[:-1]]), 9)
@@ -295,7 +293,6 @@ def judge(texts: list[str]) -> dict[str, np.ndarray]:
     """Statistics, label shares and kind of each text; kind is None where there is nothing to judge."""
     s = scan(texts)
     n, owner, sym = s["n"], s["doc_of_line"], s["symbol"].copy()
-    # a fenced block, fence lines included, is code
     state = viterbi(sym, owner)
     weight = np.where((sym == 9) | (sym == 10), 0.0, np.where(np.isin(sym, (0, 1, 7)), s["weight"], 1.0))
     shares = np.zeros((n, 4))

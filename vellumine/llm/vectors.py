@@ -138,7 +138,7 @@ def search(x: np.ndarray, q: np.ndarray, k: int, least: float, relax: float, own
 
 
 def usable(df: DataFrame, key: str, provider: str, dim: str, embedding: str) -> DataFrame:
-    """g (provider and length), key, vec: one row per vector that isn't null, empty, zero, or of NaN or infinite parts, and is as long as `dim` says."""
+    """provider, key, e: one row per vector that isn't null, empty, zero, or of NaN or infinite parts, and is as long as `dim` says."""
     e = F.col(embedding)
     fine = (F.size(e) == F.col(dim)) & (F.size(e) > 0) & ~F.exists(e, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(e, lambda v: v != 0)
     rows = df.select(F.col(provider).alias("provider"), F.col(key).cast("string").alias("key"), e.alias("e"), fine.alias("fine"))
