@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:
@@ -30,4 +31,5 @@ def markdown_table(df: DataFrame, most: int = 100) -> str:
 
 def json_report(df: DataFrame) -> str:
     """The one row of an aggregate as JSON."""
-    return df.limit(1).toJSON().first() or "{}"
+    row = df.limit(1).select(F.to_json(F.struct(*df.columns)).alias("j")).first()
+    return row[0] if row else "{}"
