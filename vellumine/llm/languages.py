@@ -318,7 +318,7 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang", sample:
         most = term if most is None else most | term
     if most is not None:
         picked = rows.where(most).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), chance.alias("c"))
-        got = sorted((r["lang"], r["c"], r["text"]) for r in picked.limit(3 * sample * len(LANGUAGES)).collect())
+        got = sorted((r["lang"], r["c"], r["text"]) for r in picked.orderBy("c", "text").limit(3 * sample * len(LANGUAGES)).collect())
     kept: dict[str, int] = {}
     texts, labels = [], []
     for k, _, t in got:

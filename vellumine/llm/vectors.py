@@ -190,7 +190,9 @@ def _routes(reps: DataFrame, shard: int) -> dict[tuple[str, int], tuple[list[Nod
         most = max(SAMPLE, 8 * leaves)
         mine = reps.where((F.col("provider") == g["provider"]) & (F.octet_length("vec") == g["bytes"]))
         share = min(1.0, 1.2 * most / n)
-        got = mine.where(F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(1_000_000_000)) < int(share * 1_000_000_000)).dropDuplicates(["cls"]).select("vec").limit(most).collect()
+        chance = F.pmod(F.xxhash64("cls", F.lit(1)), F.lit(1_000_000_000))
+        some = mine.where(chance < int(share * 1_000_000_000)).groupBy("cls").agg(F.first("vec").alias("vec"))
+        got = some.orderBy(chance, "cls").limit(most).select("vec").collect()  # the same sample in every run
         x = np.frombuffer(b"".join(bytes(r[0]) for r in got), "<f4").reshape(-1, dim)
         out[g["provider"], dim] = build(x, 1, most=leaves), x
     return out
