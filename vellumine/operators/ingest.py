@@ -132,7 +132,7 @@ def aggregate_labels(labels: Column, tags: Column, collection: Column, meta: Col
     """All labels of a topic: its own, path tags, collection, 'name:value' of a map of metadata, and the maps that hold it; sorted, once each."""
     strings = lambda c: F.coalesce(c, F.array().cast("array<string>"))
     pairs = F.transform(F.map_entries(F.coalesce(meta, F.create_map().cast("map<string,string>"))), lambda e: F.concat_ws(":", e["key"], e["value"]))
-    slugs = F.transform(strings(maps), lambda m: F.concat(F.lit("map:"), F.trim(F.lit("-"), F.regexp_replace(F.lower(m), "[^a-z0-9]+", "-"))))
+    slugs = F.transform(strings(maps), lambda m: F.concat(F.lit("map:"), F.regexp_replace(F.regexp_replace(F.lower(m), "[^a-z0-9]+", "-"), "^-|-$", "")))
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(strings(labels), strings(tags), F.array(collection), pairs, slugs))))
 
 
