@@ -88,21 +88,23 @@ def link_density(c: Column, links: Column) -> Column:
     return density(F.greatest(count(c, LINK), links), c)
 
 
-def quality_flags(c: Column, attachments: Column) -> Column:
-    """The flags in their order: empty_body, too_short or too_long, image_only, no_structure, broken_links."""
-    n = word_count(c)
-    images = (attachments > 0) & (n < 50) & (count(c, IMAGE) >= attachments)
+def flags_of(n: Column, headings: Column, images: Column, broken: Column, attachments: Column) -> Column:
+    """The flags in their order, from counts: empty_body, too_short or too_long, image_only, no_structure, broken_links."""
     return F.array_compact(F.array(
         F.when(n == 0, F.lit("empty_body")),
         F.when(n < 10, F.lit("too_short")).when(n > 10000, F.lit("too_long")),
-        F.when(images, F.lit("image_only")),
-        F.when((n > 200) & (count(c, HEADING) == 0), F.lit("no_structure")),
-        F.when(count(c, BROKEN_LINK) > 0, F.lit("broken_links")),
+        F.when((attachments > 0) & (n < 50) & (images >= attachments), F.lit("image_only")),
+        F.when((n > 200) & (headings == 0), F.lit("no_structure")),
+        F.when(broken > 0, F.lit("broken_links")),
     ))
 
 
-def structure_score(c: Column) -> Column:
-    return F.least(F.lit(1.0), count(c, HEADING) / F.greatest(F.lit(1.0), word_count(c) / 200.0))
+def quality_flags(c: Column, attachments: Column) -> Column:
+    return flags_of(word_count(c), count(c, HEADING), count(c, IMAGE), count(c, BROKEN_LINK), attachments)
+
+
+def structure_of(n: Column, headings: Column) -> Column:
+    return F.least(F.lit(1.0), headings / F.greatest(F.lit(1.0), n / 200.0))
 
 
 def quality_score(flags: Column, structure: Column, n_words: Column) -> Column:

@@ -39,16 +39,17 @@ e as (select *, round(case when word_count between 50 and 2000 then least(1.0, s
 
 def enriched(t):
     """Statistics, flags and score of every document; stored counts aren't read."""
+    c, col = F.col("text"), F.col
     d = t("documents").select("doc_id", "text", "space_key", "source").distinct()
-    none = F.lit(0)
-    flags = T.quality_flags(F.col("text"), none)
-    d = d.select("*", T.word_count(F.col("text")).alias("word_count"), F.length(T.text_of(F.col("text"))).alias("char_count"), flags.alias("flags"), T.structure_score(F.col("text")).alias("structure"))
-    return d.withColumn("quality_score", T.quality_score(F.col("flags"), F.col("structure"), F.col("word_count")))
+    # each pattern runs once per text; what follows is arithmetic on its counts
+    d = d.select("*", T.word_count(c).alias("word_count"), F.length(T.text_of(c)).alias("char_count"), T.count(c, T.HEADING).alias("heading_count"), T.count(c, T.IMAGE).alias("image_count"), T.count(c, T.BROKEN_LINK).alias("broken_count"))
+    d = d.select("*", T.flags_of(col("word_count"), col("heading_count"), col("image_count"), col("broken_count"), F.lit(0)).alias("flags"), T.structure_of(col("word_count"), col("heading_count")).alias("structure"))
+    return d.withColumn("quality_score", T.quality_score(col("flags"), col("structure"), col("word_count")))
 
 
 @query("doc_quality_enrich", f"with {ENRICHED} select doc_id, word_count, char_count, heading_count, list_count, link_count, code_blocks, tables, round(structure_score, 6) as structure_score, array_to_string(flags, ',') as quality_flags, cast(quality_score as double) as quality_score from e")
 def doc_quality_enrich(t):
-    return enriched(t).select("doc_id", "word_count", "char_count", T.count(F.col("text"), T.HEADING).alias("heading_count"), T.count(F.col("text"), T.LIST_ITEM).alias("list_count"), T.count(F.col("text"), T.LINK).alias("link_count"), F.floor(T.count(F.col("text"), "```") / 2).alias("code_blocks"), T.count(F.col("text"), T.TABLE_LINE).alias("tables"), F.round("structure", 6).alias("structure_score"), F.array_join("flags", ",").alias("quality_flags"), "quality_score")
+    return enriched(t).select("doc_id", "word_count", "char_count", "heading_count", T.count(F.col("text"), T.LIST_ITEM).alias("list_count"), T.count(F.col("text"), T.LINK).alias("link_count"), F.floor(T.count(F.col("text"), "```") / 2).alias("code_blocks"), T.count(F.col("text"), T.TABLE_LINE).alias("tables"), F.round("structure", 6).alias("structure_score"), F.array_join("flags", ",").alias("quality_flags"), "quality_score")
 
 
 @query("doc_readability", rf"""with {ENRICHED}, p as (select doc_id, clean, t, heading_count, len(regexp_extract_all(clean, '[^{W}]+')) as w, length(regexp_replace(clean, '[{W}]+', '', 'g')) as c,
