@@ -206,6 +206,18 @@ def test_hot_group_of_copies_and_variants(spark):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_all_pairs_of_a_large_region_meet(spark):
+    rng = np.random.default_rng(5)
+    sig = rng.integers(0, 256, (20000, nearduplicates.WIDTH), dtype=np.uint8)
+    sig[:, :3] = 7  # one region of the first tree holds all rows
+    a, b = np.arange(0, 10000, 100), np.arange(0, 10000, 100) + 9999
+    for k in range(4, nearduplicates.WIDTH):  # each two are alike, but in no other tree, nor in the component after the region's
+        sig[b, k] = sig[a, k] if k % 3 else sig[a, k] + 1
+    sig[b, 3] = sig[a, 3] + 1
+    got = {tuple(r) for r in nearduplicates.forest(spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sig)], "cls long, sig binary"), 0.6).collect()}
+    assert got == set(zip(a.tolist(), b.tolist()))
+
+
 def test_signatures_estimate_similarity():
     a, b = " ".join(f"w{i}" for i in range(400)), " ".join(f"w{i}" for i in range(100, 500))
     h, o, _, _ = nearduplicates.shingles([a, b], 3)

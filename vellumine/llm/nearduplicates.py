@@ -13,12 +13,13 @@ from vellumine.llm.chars import Block, blocks, mix, range_hashes
 from vellumine.operators.references import BloomFilter
 from vellumine.session import cut_lineage
 
-#: Components of a signature (one byte each), orders it is sorted in, and the least common prefix of candidates.
+#: Components of a signature (one byte each), trees, and the components that a tree's regions have in common.
 WIDTH, TREES, DEPTH = 48, 16, 3
-#: A region (records with a common prefix) beyond this size is searched one component deeper, and so on; within it all
-#: pairs meet. Its signatures, under 1 MB, are what a task holds. With the largest region s times this size and
-#: similarity x, a tree still finds a pair with a chance of about max(1/s, x^depth), and there are TREES trees.
-REGION = 16384
+#: Rows of a region that one task compares. A larger region is cut into blocks of so many rows, and every two of its
+#: blocks are compared, each two on their own; so all pairs of a region meet, however large it is.
+BLOCK = 8192
+#: Rows of a tile, whose counts of equal components stay in the cache, and of regions small enough to be done together.
+_TILE, _FEW = 512, 32
 _SEEDS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -86,83 +87,150 @@ def text_classes(df: DataFrame, n: int, min_words: int) -> DataFrame:
     return df.where(F.length("text") >= 2 * min_words - 1).mapInArrow(run, "key string, cls bigint, sig binary")
 
 
-def forest(reps: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs (a < b) of reps(cls, sig), from neighbours in several sorted orders of the signatures.
+def forest(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Candidate pairs (a < b) of reps(cls, sig), each once: classes that share a region of some tree.
 
-    Each tree sorts the signatures in its own order of components. Records that share a prefix of DEPTH components
-    are a region; it is sorted, and each record meets those after it in the region. A region beyond REGION records
-    is searched at the next component, and so on, as deep as it is dense. Neighbours whose whole signatures agree
-    too little for the threshold are dropped at once. Rows are streamed; the window holds REGION records.
+    A tree has DEPTH components of its own; records equal in all of them are a region, and all pairs of a region meet.
+    Pairs whose whole signatures agree too little for the threshold are dropped at once, and a pair comes from the first
+    tree that it shares. Rows are streamed; a task holds a block of a region, or two. Expected recall at similarity s is
+    1 - (1 - s^DEPTH)^TREES, whatever the size of the regions.
     """
-    by_tree = orders()
+
+    own = orders()[:, :DEPTH]
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("tree", pa.int32()), ("sig", pa.binary()), ("cls", pa.int64())])
+        schema = pa.schema([("region", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64())])
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, WIDTH)
+            sig = _matrix(b.column(1))
+            region = np.broadcast_to(np.arange(TREES, dtype=np.int64), (len(sig), TREES))
+            for k in range(DEPTH):
+                region = region << 8 | sig[:, own[:, k]]
             for t in range(TREES):
-                rows = np.ascontiguousarray(sig[:, by_tree[t]])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), t, np.int32)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary()), b.column(0)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(region[:, t]), b.column(1), b.column(0)], schema=schema)
 
     # Share of equal bytes at similarity s is s + (1 - s) / 256; 3.5 standard deviations below the threshold are kept.
     least = int(np.floor(WIDTH * (threshold - 3.5 * np.sqrt(threshold * (1 - threshold) / WIDTH))))
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("block", pa.int32()), ("sig", pa.binary())])
+
+    def pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(x), f.type) for f in list(out)[2:]]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *none], schema=out)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        trees = sigs = cls = None
+        """Pairs of the regions of up to a block; the rows of larger ones, numbered by blocks."""
+        held, large, sent = None, None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            s = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, WIDTH)
-            t, c = b.column(0).to_numpy(), b.column(2).to_numpy()
-            held = 0 if trees is None else len(trees)
-            if held:
-                t, s, c = np.concatenate([trees, t]), np.concatenate([sigs, s]), np.concatenate([cls, c])
-            a, z = neighbours(t, s, least, held)
-            if len(a):
-                x, y = c[a], c[z]
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-                pairs = pairs[:, pairs[0] != pairs[1]]
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
-            trees, sigs, cls = t[-REGION:], s[-REGION:], c[-REGION:]
-
-    head = F.substring("sig", 1, DEPTH + 1)
-    rows = reps.select("cls", "sig").mapInArrow(plant, "tree int, sig binary, cls bigint")
-    return rows.repartitionByRange("tree", head).sortWithinPartitions("tree", "sig").mapInArrow(search, "a bigint, b bigint").distinct()
-
-
-def neighbours(trees: np.ndarray, sigs: np.ndarray, least: int, held: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (i, j > i) in sorted rows within a region; pairs among the first `held` rows were met before."""
-    n = len(trees)
-    same = (sigs[1:] == sigs[:-1]) & (trees[1:] == trees[:-1])[:, None]
-    lcp = np.where(same.all(1), WIDTH, np.argmin(same, axis=1)) if n > 1 else np.zeros(0, np.int64)
-    need = np.full(n, DEPTH)
-    for d in range(DEPTH, WIDTH):  # depth each record is searched at: deeper while its region is too large
-        start = np.concatenate([[True], lcp < d])
-        region = np.cumsum(start) - 1
-        size = np.bincount(region)[region]
-        dense = (size > REGION) & (need == d)
-        if not dense.any():
-            break
-        need[dense] = d + 1
-    out_a, out_b = [], []
-    low = lcp.copy()  # common prefix of rows i and i + k
-    for k in range(1, min(n, REGION)):
-        if k > 1:
-            low = np.minimum(low[:-1], lcp[k - 1 :])
-        ok = np.flatnonzero(low >= need[: n - k])
-        if not len(ok):
+            r, s, c = b.column(0).to_numpy(), _matrix(b.column(1)), b.column(2).to_numpy()
+            if held is not None:
+                r, s, c = np.concatenate([held[0], r]), np.concatenate([held[1], s]), np.concatenate([held[2], c])
+            at = np.concatenate([[0], np.flatnonzero(r[1:] != r[:-1]) + 1, [len(r)]])
+            whole = np.ones(len(r), bool)
+            for g in np.flatnonzero((np.diff(at) > block) | (r[at[:-1]] == (-1 if large is None else large))):
+                lo, hi = at[g], at[g + 1]
+                if r[lo] != large:
+                    large, sent = r[lo], 0
+                blocks_of = ((sent + np.arange(hi - lo)) // block).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo:hi]), pa.nulls(hi - lo, pa.int64()), pa.array(r[lo:hi]), pa.array(blocks_of), _binary(s[lo:hi])], schema=out)
+                sent += hi - lo
+                whole[lo:hi] = False
+            whole[at[-2] :] = False
+            held = None if r[-1] == large else (r[at[-2] :], s[at[-2] :], c[at[-2] :])  # the last region may go on
+            for i, j in neighbours(r[whole], s[whole], least):
+                yield pairs(c[whole][i], c[whole][j])
+        if held is not None:
+            for i, j in neighbours(held[0], held[1], least):
+                yield pairs(held[2][i], held[2][j])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of two blocks of a region, or of one; rows are in order of the two, and of their own block."""
+        held: list[pa.RecordBatch] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            part, s, c = rows["block"].to_numpy(), _matrix(rows["sig"]), rows["cls"].to_numpy()
+            tree, m = rows["region"][0].as_py() >> 8 * DEPTH, int(np.searchsorted(part, part[-1]))
+            x, y = (s[:m], s[m:]) if m else (s, s)
+            for i, j in agreeing(x, y, least, not m):
+                new = first_tree(x[i], y[j]) == tree
+                yield pairs(c[i[new]], c[m + j[new]]).select(["a", "b"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            k = np.stack([b.column(i).to_numpy() for i in range(3)])
+            at = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1), b.num_rows]
+            for lo, hi in zip(at, at[1:]):
+                if held and any(held[0].column(i)[0] != b.column(i)[lo] for i in range(3)):
+                    yield from done()
+                    held = []
+                held.append(b.slice(lo, hi - lo))
+        if held:
+            yield from done()
+
+    rows = reps.select("cls", "sig").mapInArrow(plant, "region bigint, sig binary, cls bigint")
+    met = cut_lineage(rows.repartition("region").sortWithinPartitions("region").mapInArrow(search, "a bigint, b bigint, region bigint, block int, sig binary"))
+    large = met.where("block is not null").select("region", "block", "sig", F.col("a").alias("cls"))
+    last = large.groupBy("region").agg(F.max("block").alias("last"))
+    sides = large.join(F.broadcast(last), "region").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    sides = sides.select("region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "cls")
+    across = sides.repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "block").mapInArrow(meet, "a bigint, b bigint")
+    return met.where("block is null").select("a", "b").unionByName(across)
+
+
+def _matrix(sig: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(-1, WIDTH)
+
+
+def _binary(sigs: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(sigs), [None, pa.py_buffer(sigs.tobytes())]).cast(pa.binary())
+
+
+def first_tree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first tree whose components are equal in both signatures of each row."""
+    return (x == y)[:, orders()[:, :DEPTH]].all(2).argmax(1)
+
+
+def agreeing(x: np.ndarray, y: np.ndarray, least: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (i of x, j of y) with at least so many equal components, i < j where both are the same."""
+    xs, ys = np.ascontiguousarray(x.T), np.ascontiguousarray(y.T)
+    for lo in range(0, len(x), _TILE):
+        for at in range(lo if same else 0, len(y), _TILE):
+            a, b = xs[:, lo : lo + _TILE], ys[:, at : at + _TILE]
+            count = np.zeros((a.shape[1], b.shape[1]), np.uint8)
+            for k in range(WIDTH):
+                count += (a[k][:, None] == b[k]).view(np.uint8)
+            i, j = np.nonzero(count >= least)
+            i, j = i + lo, j + at
+            if same and at == lo:
+                i, j = i[i < j], j[i < j]
+            if len(i):
+                yield i, j
+
+
+def neighbours(regions: np.ndarray, sigs: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (i, j) of rows in one region, where it is the first they share; rows are in order of the regions."""
+    if not len(regions):
+        return
+    at = np.concatenate([[0], np.flatnonzero(regions[1:] != regions[:-1]) + 1, [len(regions)]])
+    size = np.repeat(np.diff(at), np.diff(at))
+    tree = regions >> 8 * DEPTH
+    few = np.flatnonzero((size > 1) & (size <= _FEW))
+    for k in range(1, min(len(few), _FEW)):
+        near = np.flatnonzero(regions[few[k:]] == regions[few[:-k]])
+        if not len(near):
             break
-        ok = ok[ok + k >= held]
-        if len(ok):
-            agree = (sigs[ok] == sigs[ok + k]).sum(1) >= least
-            out_a.append(ok[agree])
-            out_b.append(ok[agree] + k)
-    if not out_a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out_a), np.concatenate(out_b)
+        i, j = few[near], few[near + k]
+        ok = ((sigs[i] == sigs[j]).sum(1) >= least) & (first_tree(sigs[i], sigs[j]) == tree[i])
+        yield i[ok], j[ok]
+    for g in np.flatnonzero(np.diff(at) > _FEW):
+        s = sigs[at[g] : at[g + 1]]
+        for i, j in agreeing(s, s, least, True):
+            new = first_tree(s[i], s[j]) == tree[at[g]]
+            yield at[g] + i[new], at[g] + j[new]
 
 
 def _jaccard(n: int, threshold: float):
