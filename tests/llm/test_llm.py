@@ -218,6 +218,22 @@ def test_all_pairs_of_a_large_region_meet(spark):
     assert got == set(zip(a.tolist(), b.tolist()))
 
 
+def test_a_region_is_not_cut_at_a_border_of_partitions(spark):
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 256, (256, nearduplicates.WIDTH), dtype=np.uint8)
+    sig[:, :3], sig[:, 4::3], sig[:, 5::3] = 1, 2, 3  # all pairs are alike, and meet in the first tree alone
+    sig[:, 3::3] = np.arange(256)[:, None]
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert nearduplicates.forest(spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sig)], "cls long, sig binary"), 0.6).count() == 256 * 255 // 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_signatures_estimate_similarity():
     a, b = " ".join(f"w{i}" for i in range(400)), " ".join(f"w{i}" for i in range(100, 500))
     h, o, _, _ = nearduplicates.shingles([a, b], 3)
