@@ -135,6 +135,17 @@ def test_related(spark):
     assert [(r["src"], r["dst"], r["evidence"]) for r in got] == [("a", "b", "alpha,beta,gamma")]
 
 
+def test_related_whole_texts(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(f"d{i:02d}", " ".join(["that", *rng.choices([f"word{k}" for k in range(60)] + ["été", "漢字かなも"], k=rng.randint(0, 40))])) for i in range(50)] + [("n", None), (None, "that word1 word2"), ("e", "")]
+    sets = {k: {w for w in (t or "").split() if len(w) >= 4} for k, t in rows if k}
+    want = {(a, b, round(min(0.7, len(x & y) / 20), 6), ",".join(sorted(x & y)[:5])) for a, x in sets.items() for b, y in sets.items() if a < b and len(x & y) >= 3}
+    got = S.related_texts(spark.createDataFrame(rows, "k string, t string"), "k", "t", block=8).collect()
+    assert len(got) == len(want) > 100 and {(r["src"], r["dst"], r["confidence"], r["evidence"]) for r in got} == want
+
+
 def test_long_documents_in_lines(spark):
     text = "\n".join(["# h"] + ["line"] * 1000)
     got = S.lines(spark.createDataFrame([("a", text), ("b", "x\n"), ("c", None)], "k string, t string"), "k", "t").orderBy("k", "n").collect()

@@ -213,3 +213,11 @@ def suggested_edges(t):
     """Titles that share words; the whole table, joined on the word."""
     k = latest(t("kb_documents").where("title is not null").select("doc_id", "title", "version", "loaded_at"), "doc_id", "version", "loaded_at")
     return S.related(k, "doc_id", "title", least=2)
+
+
+@query("suggested_edges_text", r"""with w as (select distinct doc_id, unnest(list_filter(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), lambda x: length(x) >= 4)) as word from documents where doc_id is not null),
+p as (select a.doc_id as src, b.doc_id as dst, count(*) as shared, array_to_string(list_slice(list_sort(list(a.word)), 1, 5), ',') as evidence from w a join w b on a.word = b.word and a.doc_id < b.doc_id group by all)
+select src, dst, 'RELATES_TO' as type, round(least(0.7, shared / 20.0), 6) as confidence, evidence from p where shared >= 3""")
+def suggested_edges_text(t):
+    """Whole texts that share words; block against block."""
+    return S.related_texts(t("documents").select("doc_id", "text").distinct(), "doc_id", "text")
