@@ -146,6 +146,13 @@ def test_related_whole_texts(spark):
     assert len(got) == len(want) > 100 and {(r["src"], r["dst"], r["confidence"], r["evidence"]) for r in got} == want
 
 
+def test_titles_of_any_length_are_mentioned(spark):
+    long = "one two three four five six seven eight nine ten"
+    rows = [("a", "Roadmap", f"see {long}, then"), ("b", long.title(), "the roadmap of it"), ("c", "Two words", "Roadmaps; two words"), ("d", None, "roadmap"), ("e", "...", None)]
+    got = I.title_mentions(spark.createDataFrame(rows, "doc_id string, title string, text string")).collect()
+    assert sorted((r["src"], r["dst"]) for r in got) == [("a", "b"), ("b", "a"), ("d", "a")]
+
+
 def test_long_documents_in_lines(spark):
     text = "\n".join(["# h"] + ["line"] * 1000)
     got = S.lines(spark.createDataFrame([("a", text), ("b", "x\n"), ("c", None)], "k string, t string"), "k", "t").orderBy("k", "n").collect()

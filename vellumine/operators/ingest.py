@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vellumine.functions import markup as M
 from vellumine.functions import urls as U
+from vellumine.operators.references import BloomFilter
 
 
 def body_kind(df: DataFrame) -> Column:
@@ -136,19 +142,37 @@ def aggregate_labels(labels: Column, tags: Column, collection: Column, meta: Col
     return F.array_sort(F.array_distinct(F.array_compact(F.concat(strings(labels), strings(tags), F.array(collection), pairs, slugs))))
 
 
-def title_mentions(documents: DataFrame, key: str = "doc_id", title: str = "title", text: str = "text", longest: int = 8) -> DataFrame:
-    """REFERENCES edges src -> dst: the text of src names the title of dst, word by word. Titles of more than `longest` words, and of one, are left out.
+def title_mentions(documents: DataFrame, key: str = "doc_id", title: str = "title", text: str = "text") -> DataFrame:
+    """REFERENCES edges src -> dst: the text of src names the title of dst, word by word. Titles without words name nothing.
 
     No pair of documents is compared: runs of words of the texts that begin and end as some title does are met with
-    the titles on their hash. The first two words of the titles go as a Bloom filter would, by a semi-join.
+    the titles on their hash. A run goes along only if a Bloom filter of bounded size passes its first two words, or
+    its first, as the beginning of a title; it is as long as the longest title.
     """
     words = lambda c: F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    named = documents.select(F.col(key).alias("dst"), words(F.col(title)).alias("w")).where(F.size("w").between(2, longest))
-    named = named.select("dst", F.size("w").alias("n"), F.concat_ws(" ", F.try_element_at("w", F.lit(1)), F.try_element_at("w", F.lit(2))).alias("head"), F.array_join("w", " ").alias("name")).distinct()
+    named = documents.select(F.col(key).alias("dst"), words(F.col(title)).alias("w")).where(F.size("w") > 0)
+    named = named.select("dst", F.size("w").alias("n"), F.array_join(F.slice("w", 1, 2), " ").alias("head"), F.array_join("w", " ").alias("name")).distinct()
     lengths = named.select("head", "n").distinct()
-    rows = documents.select(F.col(key).alias("src"), words(F.col(text)).alias("w")).where(F.size("w") > 1)
-    heads = rows.select("src", "w", F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.try_element_at("w", i), F.try_element_at("w", i + 1)))).alias("p", "head"))
-    # only the words that a title can span go along, not the whole text
-    runs = heads.select("src", "head", F.slice("w", F.col("p") + 1, F.lit(longest)).alias("s"))
-    met = runs.join(lengths, "head").select("src", F.array_join(F.slice("s", F.lit(1), F.col("n")), " ").alias("name")).distinct()
+    known = lengths.agg(F.count(F.lit(1)).alias("heads"), F.max("n").alias("longest")).first()
+    longest = known["longest"] or 0
+    bloom = BloomFilter(lengths.select(F.xxhash64("head").alias("h")), known["heads"])
+    shared = documents.sparkSession.sparkContext.broadcast(bloom)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w, h = b.column(1), [b.column(i).flatten().to_numpy() for i in (2, 3)]
+            if not len(h[0]):
+                continue
+            place = np.flatnonzero(shared.value.contains(h[0]) | shared.value.contains(h[1]))
+            ends = np.cumsum(pc.list_value_length(w).to_numpy())
+            row = np.searchsorted(ends, place, side="right")
+            flat = w.flatten()
+            s = [flat.slice(p, min(longest, e - p)).to_pylist() for p, e in zip(place.tolist(), ends[row].tolist())]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(s, pa.list_(pa.string()))], names=["src", "s"])
+
+    kind = documents.schema[key].dataType.simpleString()
+    rows = documents.select(F.col(key).alias("src"), words(F.col(text)).alias("w")).where(F.size("w") > 0)
+    hashed = rows.select("src", "w", F.transform("w", lambda x: F.xxhash64(x)).alias("h1"), F.transform("w", lambda x, i: F.xxhash64(F.array_join(F.slice("w", i + 1, F.lit(2)), " "))).alias("h2"))
+    runs = hashed.mapInArrow(run, f"src {kind}, s array<string>").withColumn("head", F.explode(F.array_distinct(F.array(F.element_at("s", 1), F.array_join(F.slice("s", 1, 2), " ")))))
+    met = runs.join(lengths, "head").where(F.size("s") >= F.col("n")).select("src", F.array_join(F.slice("s", F.lit(1), F.col("n")), " ").alias("name")).distinct()
     return met.join(named.select("dst", "name"), "name").where("src <> dst").select("src", "dst", F.lit("REFERENCES").alias("type"), F.lit(0.8).alias("confidence")).distinct()
