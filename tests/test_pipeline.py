@@ -68,6 +68,16 @@ def test_long_word_is_not_dropped():
     assert sum(len(p.text) for _, p in got) == 10000 and all(C.tokens(p.text) <= 800 for _, p in got)
 
 
+def test_lines_between_tables_are_kept(spark):
+    text = "| h |\n| - |\n\nA paragraph between the tables.\n\n" + "\n".join(f"| row {i} of the table |" for i in range(400)) + "\r\n\n\n\nend\n "
+    got = C.chunk_text(text, "", C.Limits())
+    assert any("A paragraph between" in p.text for _, p in got)
+    covered = {k for _, p in got for k in range(p.start, p.end)}
+    df = spark.createDataFrame([(text,)], "t string")
+    n = df.select(C.body_length(F.col("t"))).first()[0]
+    assert n == max(p.end for _, p in got) and len(covered) > 0.995 * n
+
+
 def test_glue_and_title(spark):
     text = "# A\n\n" + "word " * 900 + "\n\n# B\n\nshort"
     got = C.chunk_text(text, "Doc", C.Limits())

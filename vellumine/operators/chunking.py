@@ -7,9 +7,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vellumine.functions.text import WS
+
 HEADING = re.compile(r"(?m)^(?=#+\s)")
 PARAGRAPH = re.compile(r"\n\s*\n")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -106,7 +108,12 @@ def layered(text: str, start: int, end: int, limits: Limits, headings: bool = Tr
             first, last = rows[0][0], rows[-1][1]
             around = layered(text, start, first, limits, False) if first > start else []
             after = layered(text, last, end, limits, False) if last < end else []
-            return [*around, *_framed(text, start, _units(text, rows[2][0], last, re.compile("\n")), head, "", limits, max(1, limits.overlap // 30), "table-rows"), *after]
+            body = _framed(text, start, _units(text, rows[1][1], last, re.compile("\n")), head, "", limits, max(1, limits.overlap // 30), "table-rows")
+            if body[0].strategy == "table-rows":
+                body[0] = replace(body[0], start=first)  # the head stands in it
+            else:
+                body.insert(0, Piece(text[first : rows[1][1]], first, rows[1][1], "table-rows"))
+            return [*around, *body, *after]
     for gap, keep, name in ((PARAGRAPH, limits.overlap // 100, "paragraph"), (SENTENCE, limits.overlap // 50, "sentence"), (WORD, limits.overlap // 2, "token-window")):
         units = _units(text, start, end, gap)
         if len(units) > 1:
@@ -178,6 +185,12 @@ def chunk_text(text: str, title: str = "", limits: Limits = Limits(), media: lis
 SCHEMA = "doc_id string, chunk_id string, ord int, text_md string, char_count int, token_count int, split_strategy string, char_start int, char_end int, tail_small boolean"
 
 
+def body_length(text: Column) -> Column:
+    """Characters of the normal form that a text is chunked in, without title and media."""
+    body = F.regexp_replace(F.regexp_replace(text, "\r\n?", "\n"), "\n{3,}", "\n\n")
+    return F.length(F.regexp_replace(body, rf"\A[{WS}\x1c-\x1f]+|[{WS}\x1c-\x1f]+\z", ""))
+
+
 def chunk_documents(df: DataFrame, key: str = "doc_id", text: str = "text", title: str | None = None, limits: Limits = Limits()) -> DataFrame:
     """One row per chunk of every document; empty documents and null texts give none. No shuffle; texts are handled whole."""
 

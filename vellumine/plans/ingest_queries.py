@@ -43,7 +43,7 @@ def chunk_documents(t):
 def chunk_documents_check(t):
     """Chunks beyond the cap, blank chunks, and documents of which less than 99.5 % is covered: there must be none."""
     c = chunk_documents(t).persist()
-    lengths = c.groupBy("doc_id").agg(F.max("char_end").alias("length"))
+    lengths = t("documents").select(F.col("doc_id").cast("string").alias("doc_id"), C.body_length(F.col("text")).alias("length")).distinct().where("length > 0")
     cover = S.coverage(c.select("doc_id", F.col("char_start").alias("start"), F.col("char_end").alias("end")), lengths, "doc_id")
     a = c.agg(F.count_if(F.col("token_count") > 800).alias("beyond_cap"), F.count_if(F.length(F.trim("text_md")) == 0).alias("blank"))
     b = cover.agg(F.count_if(F.col("covered") < 0.995 * F.col("length")).alias("uncovered"))
