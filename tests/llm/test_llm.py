@@ -437,6 +437,19 @@ def test_labels_and_edge_cases(spark, profiles):
     assert languages.passages(docs.limit(0), profiles).count() == 0
 
 
+def test_copies_do_not_crowd_out_the_sample(spark, monkeypatch):
+    rows = [("en", f"text number {i} " + "with words " * 30) for i in range(400)] + [("de", f"text nummer {i} " + "mit worten " * 30) for i in range(400)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    # the copies have the least chance of all, so that they come first
+    hot = df.orderBy(F.pmod(F.xxhash64("text"), F.lit(1_000_000_000))).first()
+    copies = spark.range(2000).select(F.lit(hot["lang"]).alias("lang"), F.lit(hot["text"]).alias("text"))
+    got = []
+    monkeypatch.setattr(languages, "fit", lambda texts, labels: got.append((texts, labels)))
+    languages.train(df, sample=50)
+    languages.train(df.unionByName(copies), sample=50)
+    assert got[0] == got[1] and len(set(got[0][0])) == 100 and got[0][1].count("de") == 50
+
+
 def test_table_equals_vectors(profiles):
     """The tabled dot products are those of the bundled vectors."""
     g = languages.triples(languages.letters()[Block([SAMPLES["en"]]).codes])

@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumine.llm.chars import BREAK, LETTER, SPACE, Block, blocks, classes
@@ -307,9 +307,11 @@ def label_language(label: Column) -> Column:
 
 
 def train(documents: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
-    """Profiles fitted on at most `sample` labelled texts of each language, chosen by a hash of the text."""
+    """Profiles fitted on at most `sample` different labelled texts of each language, chosen by a hash of the text."""
     rows = documents.select(F.col(text).alias("text"), label_language(F.col(lang)).alias("lang")).where(F.col("lang").isin(*LANGUAGES) & (F.length("text") >= 200))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # Copies have one hash: they count once, and are sampled once.
+    hashes = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    counts = {r["lang"]: r["n"] for r in hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     got = []
     chance = F.pmod(F.xxhash64("text"), F.lit(1_000_000_000))
     most = None
@@ -317,8 +319,9 @@ def train(documents: DataFrame, text: str = "text", lang: str = "lang", sample:
         term = (F.col("lang") == k) & (chance < int(min(1.0, 1.3 * sample / n) * 1_000_000_000))
         most = term if most is None else most | term
     if most is not None:
-        picked = rows.where(most).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), chance.alias("c"))
-        got = sorted((r["lang"], r["c"], r["text"]) for r in picked.orderBy("c", "text").limit(3 * sample * len(LANGUAGES)).collect())
+        picked = rows.where(most).select("lang", "text", chance.alias("c")).distinct()
+        picked = picked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("c", "text"))).where(F.col("n") <= sample)
+        got = sorted((r["lang"], r["c"], r["text"]) for r in picked.select("lang", "c", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
     kept: dict[str, int] = {}
     texts, labels = [], []
     for k, _, t in got:
