@@ -243,6 +243,15 @@ def test_streams(spark, tmp_path):
     assert (rows[0]["level"], rows[0]["docs"], rows[0]["chunks"]) == ("INFO", 3, 9) and rows[1]["level"] is None
 
 
+def test_stream_reads_all_files_of_a_table(spark, tmp_path):
+    from vellumine.plans import catalog
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    ev.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got = catalog.queries()["stream_event_windows"](spark, str(tmp_path)).agg(F.sum("n")).first()[0]
+    assert got == ev.count() > 0
+
+
 def test_ema_matches_the_stream_rule(spark):
     df = spark.createDataFrame([("u", i, float(v)) for i, v in enumerate([3, 1, 4, 1, 5])], "u string, i int, v double")
     want, m = [], None

@@ -60,10 +60,11 @@ def markdown_round_trip(t):
 
 @query("stream_event_windows", "select event_type, time_bucket(interval 1 hour, ts) as start, count(*) as n, round(sum(value), 4) as total from events group by all")
 def stream_event_windows(t):
-    """The event file as a stream, hourly windows, complete results."""
+    """The event table, a file or a folder of them, as a stream, hourly windows, complete results."""
     batch = t("events")
-    at = batch.inputFiles()[0]
-    s = E.file_stream(batch.sparkSession, at.rsplit("/", 1)[0], batch.schema.simpleString()[7:-1].replace(":", " "), glob=at.rsplit("/", 1)[1]).withColumn("ts", F.col("ts").cast("timestamp"))
+    at = batch.inputFiles()  # of a table in one file the file itself, else the table's folder
+    folder, name = at[0].rsplit("/", 1)
+    s = E.file_stream(batch.sparkSession, folder, batch.schema.simpleString()[7:-1].replace(":", " "), glob=None if folder.endswith("/events.parquet") else name).withColumn("ts", F.col("ts").cast("timestamp"))
     return E.run_to_end(E.windowed_counts(s), "complete")
 
 
