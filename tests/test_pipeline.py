@@ -252,6 +252,18 @@ def test_stream_reads_all_files_of_a_table(spark, tmp_path):
     assert got == ev.count() > 0
 
 
+def test_embedding_load_skips_known_chunks(spark, monkeypatch):
+    from vellumine.plans import catalog, ingest_queries
+
+    seen = []
+    monkeypatch.setattr(ingest_queries.B, "check_dimension", lambda e, dim: seen.append(e.where("embedding is not null").count()))
+    todo = ingest_queries.B.to_embed
+    monkeypatch.setattr(ingest_queries.B, "to_embed", lambda rows, *a: seen.append((rows.where("chunk_id is not null").count(), todo(rows, *a).count())) or todo(rows, *a))
+    catalog.queries()["embedding_load"](spark, "/root/testdata/sf0.001")
+    stored, (chunks, made) = seen
+    assert stored > 0 and 0 < made < chunks
+
+
 def test_ema_matches_the_stream_rule(spark):
     df = spark.createDataFrame([("u", i, float(v)) for i, v in enumerate([3, 1, 4, 1, 5])], "u string, i int, v double")
     want, m = [], None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellumine.functions import hashes as H
 from vellumine.functions import markup as M
 from vellumine.functions import queries as Q
 from vellumine.operators import chunking as C
@@ -97,8 +98,11 @@ def link_targets(t):
 
 @query("embedding_load", "with e as (select distinct chunk_id, provider from chunk_embeddings where provider = 'dummy' and chunk_id is not null), c as (select distinct chunk_id from chunks where chunk_id is not null) select count(*) as vectors, count(*) filter (fresh) as fresh from (select chunk_id, true as fresh from c union all select chunk_id, false from e where chunk_id not in (select chunk_id from c))")
 def embedding_load(t):
-    """A load of all chunks beside vectors whose text isn't known: those of the chunks are made anew, the others stay."""
-    old = t("chunk_embeddings").where("provider = 'dummy' and chunk_id is not null").select("chunk_id", "provider").distinct().select("chunk_id", "provider", F.lit(8).alias("dim"), F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("array<float>").alias("embedding"))
+    """A load of all chunks beside stored vectors: of every other chunk of known text, which is skipped; of others, made anew; and of none that is there, which stay."""
+    known = t("chunks").where("chunk_id is not null").select("chunk_id", H.content_hash(F.col("text_md")).alias("content_hash")).dropDuplicates(["chunk_id"]).where(F.pmod(F.xxhash64("chunk_id"), F.lit(2)) == 0)
+    old = t("chunk_embeddings").where("provider = 'dummy' and chunk_id is not null").groupBy("chunk_id", "provider").agg(F.max(F.slice("embedding", 1, 8)).alias("e")).join(known, "chunk_id", "left")
+    vector = F.when(F.col("content_hash").isNotNull() & (F.size("e") == 8), F.col("e").cast("array<float>"))
+    old = old.select("chunk_id", "provider", F.lit(8).alias("dim"), F.when(vector.isNotNull(), F.col("content_hash")).alias("content_hash"), vector.alias("embedding"))
     out = B.load(t("chunks").select("chunk_id", "doc_id", "text_md").distinct(), old, "dummy", 8)
     return out.agg(F.count(F.lit(1)).alias("vectors"), F.count("embedding").alias("fresh"))
 
