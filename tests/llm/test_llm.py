@@ -262,7 +262,7 @@ def test_exact_search_is_exact_and_relaxed_one_finds_most():
         a, b, _ = vectors.search(x, x[q], 5, -1.0, relax, q)
         found = {(int(i), int(j)) for i, j in zip(a, b)}
         assert sum((i, int(j)) in found for i, row in enumerate(want) for j in row) / want.size >= least
-    a, b, s = vectors.search(x, x[q], 5, 0.9, vectors.WITHIN, q)
+    a, b, s = vectors.search(x, x[q], 5, 0.9, vectors.BOUNDED[1], q)
     near = {(i, int(j)) for i, row in enumerate(want) for j in row if x[q[i]].astype(float) @ x[j].astype(float) >= 0.9}
     got = {(int(i), int(j)) for i, j in zip(a, b)}
     assert got <= near and len(got) >= 0.97 * len(near)
@@ -284,6 +284,34 @@ def test_shards_and_edge_cases(spark):
     assert vectors.similar_vectors(df.limit(0)).count() == 0
 
 
+def test_large_shards_are_divided_again(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MAX_SHARDS", 4)  # the first trees tell 4 shards apart: of 100 vectors each they'd hold 750
+    monkeypatch.setattr(vectors, "SAMPLE", 200)
+    x = clusters()
+    df = spark.createDataFrame([(f"{i}", "a|b", 32, [float(v) for v in r]) for i, r in enumerate(x)], "chunk_id string, provider string, dim int, embedding array<float>")
+    q = np.arange(0, len(x), 30)
+    asks = spark.createDataFrame([(str(i),) for i in q], "key string")
+    want = {(str(i), str(j)) for i, row in zip(q, vectors.brute_force(x, x[q], q, 5)) for j in row}
+    got = {(r["key"], r["neighbour"]) for r in vectors.similar_vectors(df, 5, across=1.0, within=1.0, queries=asks, shard=100).collect()}
+    assert got == want
+    r = vectors.recall(df, asks, shard=100).first()
+    assert r["enough"] and (r["queries"], r["expected"]) == (100, 500)
+
+
+def test_vectors_that_are_all_alike_are_dealt_out(spark):
+    rng = np.random.default_rng(8)
+    x = np.ones((2000, 16)) + 1e-5 * rng.normal(size=(2000, 16))
+    x = np.concatenate([x, rng.normal(size=(1000, 16))])
+    u = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    r = vectors.Router.fit(u, 30)
+    assert sum(n.parts for n in r.nodes if n.point is None) >= 25 and max(n.parts for n in r.nodes if n.point is None) > 10
+    ids, yes = np.arange(len(u)), np.ones(len(u), bool)
+    lives = np.concatenate([who[here] for _, who, here in r.visits(u, ids, yes, yes, np.full(len(u), 0.1), 1.0, 5)])
+    assert sorted(lives.tolist()) == ids.tolist()
+    parts = {name: int(here.sum()) for name, _, here in r.visits(u, ids, yes, ~yes, np.full(len(u), 0.1), 1.0, 5)}
+    assert max(parts.values()) < 400
+
+
 def test_hot_group_of_equal_vectors(spark):
     rows = [(f"h{i:03d}", "p", 3, [1.0, 2.0, 3.0]) for i in range(300)] + [("a", "p", 3, [1.0, 2.0, 3.1]), ("b", "p", 3, [-1.0, 0.0, 0.0])]
     got = vectors.similar_vectors(spark.createDataFrame(rows, "chunk_id string, provider string, dim int, embedding array<float>"), 5).collect()
