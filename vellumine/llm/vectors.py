@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,9 +99,16 @@ def descend(nodes: list[Node], q: np.ndarray, margin: np.ndarray | float | None)
                 stack.append((child, who[go]))
 
 
-def search(x: np.ndarray, q: np.ndarray, k: int, least: float, relax: float, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def cosines(q: np.ndarray, x: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Cosines of rows a of q and b of x, in double precision."""
+    nq, nx = (np.sqrt(np.einsum("ij,ij->i", m, m, dtype=np.float64)) for m in (q, x))
+    return lambda a, b: np.einsum("ij,ij->i", q[a].astype(np.float64), x[b].astype(np.float64)) / (nq[a] * nx[b])
+
+
+def search(x: np.ndarray, q: np.ndarray, k: int, least: float, relax: float, own: np.ndarray | None = None, fine: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, row of x, cosine): for each query the k most similar rows with a cosine of at least `least`, and ties
-    of the last of them. own: the row of x that is the query itself, or -1.
+    of the last of them. own: the row of x that is the query itself, or -1. fine(a, b): cosines of double precision of
+    query a and row b, by which the candidates are ranked.
 
     A first descent to each query's own leaf bounds its search radius; the second visits what the triangle
     inequality can't rule out, with the radius divided by `relax`. relax 1 is exact.
@@ -137,9 +144,9 @@ def search(x: np.ndarray, q: np.ndarray, k: int, least: float, relax: float, own
     a, b, s = (np.concatenate(c) for c in zip(*out))
     if not len(a):
         return a, b, np.zeros(0)
-    s = np.concatenate([np.einsum("ij,ij->i", q[a[i : i + 65536]].astype(np.float64), x[b[i : i + 65536]].astype(np.float64)) for i in range(0, len(a), 65536)])
-    fine = s >= least
-    a, b, s = a[fine], b[fine], s[fine]
+    s = np.concatenate([(fine or cosines(q, x))(a[i : i + 65536], b[i : i + 65536]) for i in range(0, len(a), 65536)])
+    near = s >= least
+    a, b, s = a[near], b[near], s[near]
     if not len(a):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     order = np.lexsort((b, -s, a))
@@ -160,11 +167,12 @@ def usable(df: DataFrame, key: str, provider: str, dim: str, embedding: str) ->
 
 
 def vector_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members: cls, provider, key; reps: cls, provider, vec as float32 bytes of the unit vector): equal vectors share a class."""
+    """(members: cls, provider, key; reps: cls, provider, vec): equal vectors share a class. vec holds the float32 bytes of the
+    vector times a power of two, so single precision is kept as it is and double precision neither overflows nor vanishes."""
     hashed = rows.withColumn("cls", F.xxhash64("provider", "e"))
     members = hashed.select("cls", "provider", "key").distinct()
 
-    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task passes each class on once; a hot one arrives once a task
         for b in batches:
             cls = b.column(0).to_pylist()
@@ -177,16 +185,20 @@ def vector_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             for size in np.unique(n):
                 i = np.flatnonzero(n == size)
                 m = flat[at[i][:, None] + np.arange(size)]
-                m /= np.abs(m).max(1, keepdims=True)
-                m = (m / np.linalg.norm(m, axis=1, keepdims=True)).astype("<f4")
+                m = np.ldexp(m, -np.frexp(np.abs(m).max(1, keepdims=True))[1]).astype("<f4")
                 for row, k in zip(m, i):
                     out[k] = row.tobytes()
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["cls", "provider", "vec"])
 
-    reps = hashed.select("cls", "provider", "e").mapInArrow(unit, "cls bigint, provider string, vec binary")
+    reps = hashed.select("cls", "provider", "e").mapInArrow(scaled, "cls bigint, provider string, vec binary")
     return members, reps
 
 
+def _unit(raw: np.ndarray) -> np.ndarray:
+    """Unit vectors of single precision, for search."""
+    return (raw / np.sqrt(np.einsum("ij,ij->i", raw, raw, dtype=np.float64))[:, None]).astype(np.float32)
+
+
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<f4").reshape(-1, dim)
 
@@ -254,7 +266,7 @@ def _routes(reps: DataFrame, shard: int) -> dict[tuple[str, int], Router]:
     for (p, b), n in groups.items():
         if (p, b) in many:
             rows = sorted(drawn[p, b])[: _sample_size(_shards(n, shard))]  # the same sample in every run
-            out[p, b // 4] = Router.fit(np.frombuffer(b"".join(v for _, _, v in rows), "<f4").reshape(-1, b // 4), _shards(n, shard))
+            out[p, b // 4] = Router.fit(_unit(np.frombuffer(b"".join(v for _, _, v in rows), "<f4").reshape(-1, b // 4)), _shards(n, shard))
         else:
             out[p, b // 4] = Router([Node(rows=np.zeros(0, np.int64))], np.zeros((0, b // 4), np.float32))
     return out
@@ -275,7 +287,7 @@ def _route_on(placed: DataFrame, large: dict[str, int], shard: int, across: floa
         name = table.column("shard")[0].as_py()
         ids, first = np.unique(table.column("cls").to_numpy(), return_index=True)
         at = first[np.argsort(mix(ids.view(np.uint64) + np.uint64(2)), kind="stable")][: _sample_size(_shards(large[name], shard))]
-        x = _matrix(table.column("vec").take(pa.array(at)), int(name.rsplit("|", 2)[1]))
+        x = _unit(_matrix(table.column("vec").take(pa.array(at)), int(name.rsplit("|", 2)[1])))
         return pa.table({"shard": [name], "router": pa.array([pickle.dumps(Router.fit(x, _shards(large[name], shard)))], pa.binary())})
 
     routers = mine.where("lives").select("shard", "cls", "vec").mapInArrow(pick, "shard string, cls bigint, vec binary").groupBy("shard").applyInArrow(fit, "shard string, router binary")
@@ -298,7 +310,7 @@ def _route_on(placed: DataFrame, large: dict[str, int], shard: int, across: floa
                 if lo == hi:
                     continue
                 c = [b.column(i).slice(lo, hi - lo) for i in range(6)]
-                x, reach = _matrix(c[2], int(shards[lo].rsplit("|", 2)[1])), c[5].to_numpy(zero_copy_only=False).copy()
+                x, reach = _unit(_matrix(c[2], int(shards[lo].rsplit("|", 2)[1]))), c[5].to_numpy(zero_copy_only=False).copy()
                 for name, who, here in router.visits(x, c[1].to_numpy(), *(c[i].to_numpy(zero_copy_only=False) for i in (4, 3)), reach, across, k):
                     yield _placed(f"{shards[lo]}/{name}", c[1], c[2], c[3], who, here, reach)
 
@@ -330,21 +342,22 @@ def nearest(reps: DataFrame, k: int, least: float = -1.0, across: float | None =
                 groups.setdefault((p, int(s) // 4), []).append(i)
             for (p, dim), rows in groups.items():
                 part = b.take(pa.array(rows))
-                x, asks = _matrix(part.column(2), dim), part.column(3)
+                x, asks = _unit(_matrix(part.column(2), dim)), part.column(3)
                 reach = np.full(len(x), math.sqrt(max(0.0, 2 - 2 * least)))
                 for name, who, here in routes.value[p, dim].visits(x, part.column(0).to_numpy(), np.ones(len(x), bool), asks.to_numpy(zero_copy_only=False), reach, across, k):
                     yield _placed(f"{p}|{dim}|{name}", part.column(0), part.column(2), asks, who, here, reach)
 
     def look(table: pa.Table) -> pa.Table:
-        x = _matrix(table.column("vec"), int(table.column("shard")[0].as_py().rsplit("|", 2)[1]))
+        raw = _matrix(table.column("vec"), int(table.column("shard")[0].as_py().rsplit("|", 2)[1]))
         # the same class may come from several rows: copies of one vector count once
         cls, first = np.unique(table.column("cls").to_numpy(), return_index=True)
-        x = x[first]
+        raw = raw[first]
+        x = _unit(raw)
         lives, asks = table.column("lives").to_numpy()[first], table.column("asks").to_numpy()[first]
         data, who = np.flatnonzero(lives), np.flatnonzero(asks)
         own = np.full(len(x), -1)
         own[data] = np.arange(len(data))
-        a, r, s = search(x[data], x[who], k, least, within, own[who])
+        a, r, s = search(x[data], x[who], k, least, within, own[who], cosines(raw[who], raw[data]))
         return pa.table({"a": cls[who[a]], "b": cls[data[r]], "cosine": np.asarray(s, np.float64)})
 
     columns = ["cls", "provider", "vec", "asks"]
