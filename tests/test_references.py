@@ -55,6 +55,16 @@ def test_hot_parent(spark):
     assert got == want
 
 
+def test_refuted_references_are_not_joined(spark):
+    refs = spark.range(3000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.lit(D(2)).cast("timestamp").alias("t"), F.col("id"))
+    out = R.orphans(refs, R.presence(spark.createDataFrame([("k1", D(1)), ("k2", D(5))], "k string, t timestamp"), None))
+    assert {r["id"] for r in out.collect()} == set(range(3000)) - {1}
+    union = out._jdf.queryExecution().optimizedPlan()
+    assert union.nodeName() == "Union" and "Join" not in union.children().head().toString()
+    joined = union.children().last().toString()
+    assert "LeftAnti" in joined and "Filter (" in joined.split("LeftAnti")[1] and "may_contain" in joined
+
+
 def test_bloom_filter_has_no_false_negatives(spark):
     h = spark.range(20000).select(F.xxhash64("id").alias("h"))
     b = R.BloomFilter(h.where("h % 2 = 0"), 10000)

@@ -88,10 +88,10 @@ def presence(loads: DataFrame, deletions: DataFrame | None) -> DataFrame:
 def orphans(refs: DataFrame, spans: DataFrame, keys: DataFrame | None = None, expected: int | None = None, salts: int = SALTS) -> DataFrame:
     """The rows of refs(k, t, ...) whose key was not there at t; spans as presence() gives them.
 
-    A Bloom filter of the parents' keys proves most orphans at once. The rest is joined exactly, on the key and a
-    salt of the reference: a parent that holds a third of all references is met by `salts` tasks, for which the
-    spans, far fewer than the references, are repeated. Null keys are no references. A reference without a time is
-    an orphan if its key was never there. Rows are kept as they come, repeated ones too.
+    A Bloom filter of the parents' keys proves most orphans at once, which go to the result as they are. Only what passes
+    it is joined exactly, on the key and a salt of the reference: a parent that holds a third of all references is met by
+    `salts` tasks, for which the spans, far fewer than the references, are repeated. Null keys are no references. A
+    reference without a time is an orphan if its key was never there. Rows are kept as they come, repeated ones too.
 
     keys: where the filter's keys (k) are read, if that is cheaper than the spans; it may hold more than they do.
     expected: a bound of the number of keys; counted if None.
@@ -102,15 +102,16 @@ def orphans(refs: DataFrame, spans: DataFrame, keys: DataFrame | None = None, ex
     if expected is None:
         expected = keys.select(F.approx_count_distinct("k", 0.05)).first()[0]
     bloom = BloomFilter(keys.where("k is not null").select(F.xxhash64("k").alias("h")), expected)
-    others = F.xxhash64(*[c for c in refs.columns if c != "k"])
-    # What the filter refutes gets a key of its own that no parent has, so one pass and one join serve both.
-    keyed = keyed.withColumn("maybe", bloom.probe(spark)("h")).select(*refs.columns, F.when(F.col("maybe"), F.col("k")).otherwise(F.concat(F.lit("\u0000"), others.cast("string"))).alias("jk"), F.pmod(others, F.lit(salts)).cast("int").alias("salt"))
+    probed = keyed.withColumn("maybe", bloom.probe(spark)("h"))
+    refuted = probed.where(~F.col("maybe")).select(*refs.columns)  # orphans for certain: they are neither shuffled nor joined
+    salt = F.pmod(F.xxhash64(*[c for c in refs.columns if c != "k"]), F.lit(salts)).cast("int")
+    rest = probed.where("maybe").select(*refs.columns, salt.alias("salt"))
     wide = spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    r, s = keyed.alias("r"), wide.alias("s")
-    there = (F.col("r.jk") == F.col("s.k")) & (F.col("r.salt") == F.col("s.salt")) & (
+    r, s = rest.alias("r"), wide.alias("s")
+    there = (F.col("r.k") == F.col("s.k")) & (F.col("r.salt") == F.col("s.salt")) & (
         F.col("r.t").isNull() | ((F.col("r.t") >= F.col("s.since")) & (F.col("s.until").isNull() | (F.col("r.t") < F.col("s.until"))))
     )
-    return r.join(s, there, "left_anti").select(*refs.columns)
+    return refuted.unionByName(r.join(s, there, "left_anti").select(*refs.columns))
 
 
 def _refs(df: DataFrame, name: str, target: Column, time: str, key: Column) -> DataFrame:
