@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -12,6 +13,10 @@ from pyspark.sql import functions as F
 
 from vellumine.functions import text as T
 from vellumine.functions import vectors as V
+from vellumine.functions.queries import process_documents
+
+#: Rows of (chunk_id, score) that may be broadcast.
+BROADCAST_ROWS = 1 << 17
 
 
 def latest(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -26,53 +31,78 @@ def rank_top(df: DataFrame, k: int, *order: Column, name: str = "rank") -> DataF
     return df.orderBy(*order).limit(k).withColumn(name, F.row_number().over(Window.orderBy(*order)))
 
 
-def dense_search(chunks: DataFrame, embeddings: DataFrame, query: list[float] | Column, provider: str, dim: int, top_k: int = 8, spaces: list[str] | None = None) -> DataFrame:
+def allowed_documents(documents: DataFrame, spaces: list[str] | None = None, process: bool = False) -> DataFrame:
+    """doc_id of the documents(doc_id, space_key, title, meta) in one of the spaces and, if `process`, about the process.
+    A list of spaces that is empty allows none; a null space is in none."""
+    rows = documents if spaces is None else documents.where(F.col("space_key").isin(*spaces) if spaces else F.lit(False))
+    return (rows.where(process_documents(F.col("title"), F.col("meta"))) if process else rows).select("doc_id").where("doc_id is not null").distinct()
+
+
+def dense_search(chunks: DataFrame, embeddings: DataFrame, query: list[float] | Column, provider: str, dim: int, top_k: int = 8, allowed: DataFrame | None = None) -> DataFrame:
     """The top_k chunks by cosine with the query vector: chunk_id, doc_id, score, rank; ties by doc_id, chunk_id.
 
     Scores are rounded to nine digits before they are ranked. Only vectors of the provider and dimension count; a
-    vector of nulls, NaN or another length is left out. Repeated rows count once. The scan reads four columns,
-    scores in the JVM and passes top_k rows on; only those meet the chunks.
+    vector of nulls, NaN or another length is left out. Repeated rows count once; vectors without a chunk don't count.
+    allowed: the documents (doc_id) to search in, all if None.
+
+    The scan reads four columns and scores in the JVM. The few best scores, a bounded number, come to the driver in one
+    job and are broadcast to the scan of the chunks, so no table is shuffled. If too few of them have a chunk, or the last
+    place is tied with rows left out, more are taken. With `allowed`, or where more would be needed than may be broadcast,
+    the scores meet the chunks in a join of (chunk_id, score) rows.
     """
     q = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
     e = embeddings.where((F.col("provider") == provider) & (F.col("dim") == dim) & (F.size("embedding") == dim)).where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x)))
-    scored = e.select("chunk_id", F.round(V.cosine(F.col("embedding"), q), 9).alias("score")).distinct()
-    owner = chunks.select("chunk_id", "doc_id", *(["space_key"] if spaces else [])).distinct()
-    if spaces:
-        owner = owner.where(F.col("space_key").isin(spaces))
-    return rank_top(scored.join(owner, "chunk_id").select("chunk_id", "doc_id", "score"), top_k, F.desc("score"), F.asc_nulls_last("doc_id"), F.asc_nulls_last("chunk_id"))
-
-
-def lexical_search(chunks: DataFrame, query: str, top_k: int = 200, match: str = "any", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    scored = e.select("chunk_id", F.round(V.cosine(F.col("embedding"), q), 9).alias("score")).where("chunk_id is not null")
+    owner = chunks.select("chunk_id", "doc_id")
+    by = (F.desc("score"), F.asc_nulls_last("doc_id"), F.asc_nulls_last("chunk_id"))
+    meet = lambda rows, own: rank_top(rows.join(own, "chunk_id").select("chunk_id", "doc_id", "score").distinct(), top_k, *by)
+    if allowed is not None:
+        return meet(scored, owner.join(allowed, "doc_id", "left_semi"))
+    take = 2 * top_k + 100
+    while take <= BROADCAST_ROWS:
+        best = scored.orderBy(F.desc("score")).limit(take).collect()
+        few = scored.sparkSession.createDataFrame(pa.table({c: [r[c] for r in sorted(set(best))] for c in ("chunk_id", "score")}, pa.schema([("chunk_id", pa.string()), ("score", pa.float64())])))
+        hits = meet(F.broadcast(few), owner)
+        if len(best) < take or hits.where(F.col("score") > best[-1]["score"]).count() >= top_k:
+            return hits
+        take *= 16
+    return meet(scored, owner)
+
+
+def lexical_search(chunks: DataFrame, query: str, top_k: int = 200, match: str = "any", k1: float = 1.2, b: float = 0.75, allowed: DataFrame | None = None) -> DataFrame:
     """The top_k chunks by BM25: chunk_id, doc_id, score, rank; ties by doc_id, chunk_id. match 'all' wants every term.
 
-    Terms are runs of letters and digits in lower case. Term counts are taken per row, in the JVM, for the terms of
-    the query alone: two narrow scans and one aggregate of a single row, no inverted index to shuffle.
+    Terms are runs of letters and digits in lower case. allowed: the documents (doc_id) to search in, all if None; the
+    statistics are those of all chunks. Each text is cut into words once; what goes on is its ids, its length and its
+    counts of the terms. One exchange of these narrow rows drops repeated ones and serves both the statistics (one row)
+    and the scores.
     """
     terms = list(dict.fromkeys(t for t in re.findall(r"[^\W_]+", query.lower())))
-    rows = chunks.select("chunk_id", "doc_id", T.words(F.col("text_md")).alias("w")).where(F.size("w") > 0)
-    times = lambda term: F.size(F.filter("w", lambda x: x == term))
-    tf = [times(t).alias(f"tf{i}") for i, t in enumerate(terms)]
-    counted = rows.select("chunk_id", "doc_id", F.size("w").alias("n"), *tf).distinct()
-    stats = counted.agg(F.count(F.lit(1)).alias("rows"), F.avg("n").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
-    hit = None
-    for i in range(len(terms)):
-        one = F.col(f"tf{i}") > 0
-        hit = one if hit is None else (hit & one if match == "all" else hit | one)
+    if not terms:
+        return chunks.select("chunk_id", "doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
+    # the generator keeps the words from being written out once for each use
+    cut = F.inline(F.transform(F.array(T.words(F.col("text_md"))), lambda w: F.struct(F.size(w).alias("n"), F.filter(w, lambda x: x.isin(*terms)).alias("of"))))
+    times = lambda term: F.size(F.filter("of", lambda x: x == term))
+    counted = chunks.select("chunk_id", "doc_id", cut).where("n > 0").select("chunk_id", "doc_id", "n", F.array(*[times(t) for t in terms]).alias("tf")).distinct()
+    tf = [F.col("tf")[i] for i in range(len(terms))]
+    stats = counted.agg(F.count(F.lit(1)).alias("rows"), F.avg("n").alias("mean"), *[F.count_if(f > 0).alias(f"df{i}") for i, f in enumerate(tf)])
+    hit = functools.reduce(lambda x, y: x & y if match == "all" else x | y, [f > 0 for f in tf])
     score = F.lit(0.0)
-    for i in range(len(terms)):
+    for i, f in enumerate(tf):
         idf = F.log(1 + (F.col("rows") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
-        f = F.col(f"tf{i}")
         score = score + idf * f * (k1 + 1) / (f + k1 * (1 - b + b * F.col("n") / F.col("mean")))
-    if hit is None:
-        return counted.select("chunk_id", "doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("rank")).limit(0)
-    scored = counted.where(hit).crossJoin(F.broadcast(stats)).select("chunk_id", "doc_id", F.round(score, 9).alias("score"))  # stats is one row
+    # stats is one row; the condition names it so that it isn't pushed below the exchange, which both sides share
+    scored = counted.crossJoin(F.broadcast(stats)).where(F.when(F.col("rows") > 0, hit)).select("chunk_id", "doc_id", F.round(score, 9).alias("score"))
+    if allowed is not None:
+        scored = scored.join(allowed, "doc_id", "left_semi").select("chunk_id", "doc_id", "score")
     return rank_top(scored, top_k, F.desc("score"), F.asc_nulls_last("doc_id"), F.asc_nulls_last("chunk_id"))
 
 
-def trigram_search(chunks: DataFrame, query: str, top_k: int = 8, least: float = 0.1) -> DataFrame:
-    """The top_k chunks whose trigrams resemble those of the query by more than `least`."""
+def trigram_search(chunks: DataFrame, query: str, top_k: int = 8, least: float = 0.1, allowed: DataFrame | None = None) -> DataFrame:
+    """The top_k chunks, of the allowed documents, whose trigrams resemble those of the query by more than `least`."""
     own = T.trigrams(F.lit(query))
-    scored = chunks.select("chunk_id", "doc_id", F.round(T.trigram_similarity(T.trigrams(F.col("text_md")), own), 9).alias("score")).where(F.col("score") > least).distinct()
+    rows = chunks if allowed is None else chunks.join(allowed, "doc_id", "left_semi")
+    scored = rows.select("chunk_id", "doc_id", F.round(T.trigram_similarity(T.trigrams(F.col("text_md")), own), 9).alias("score")).where(F.col("score") > least).distinct()
     return rank_top(scored, top_k, F.desc("score"), F.asc_nulls_last("doc_id"), F.asc_nulls_last("chunk_id"))
 
 
@@ -84,18 +114,18 @@ def fuse(dense: DataFrame, lexical: DataFrame, k: int = 60) -> DataFrame:
     return both.select("chunk_id", F.coalesce("d1", "d2").alias("doc_id"), "dense_rank", "lexical_rank", F.round(V.reciprocal_rank(F.col("dense_rank"), F.col("lexical_rank"), k=k), 9).alias("rrf"))
 
 
-def hybrid_search(chunks: DataFrame, embeddings: DataFrame, documents: DataFrame, query: str, vector: list[float] | Column, provider: str, dim: int, top_k: int = 8, pool: int = 200, k: int = 60) -> DataFrame:
+def hybrid_search(chunks: DataFrame, embeddings: DataFrame, documents: DataFrame, query: str, vector: list[float] | Column, provider: str, dim: int, top_k: int = 8, pool: int = 200, k: int = 60, allowed: DataFrame | None = None) -> DataFrame:
     """Dense and lexical pools fused, boosted by title, best first: chunk_id, doc_id, title, dense_rank, lexical_rank, score, rank."""
-    fused = fuse(dense_search(chunks, embeddings, vector, provider, dim, pool), lexical_search(chunks, query, pool), k)
+    fused = fuse(dense_search(chunks, embeddings, vector, provider, dim, pool, allowed), lexical_search(chunks, query, pool, allowed=allowed), k)
     titles = documents.select("doc_id", "title")
     scored = fused.join(titles, "doc_id", "left").withColumn("score", F.round(F.col("rrf") + V.boost(F.col("title")), 9))
     return rank_top(scored.select("chunk_id", "doc_id", "title", "dense_rank", "lexical_rank", "score"), top_k, F.desc("score"), F.asc_nulls_last("chunk_id"))
 
 
-def search_or_fallback(chunks: DataFrame, query: str, top_k: int = 8) -> DataFrame:
+def search_or_fallback(chunks: DataFrame, query: str, top_k: int = 8, allowed: DataFrame | None = None) -> DataFrame:
     """Lexical hits with all terms; trigram hits where there are none. One plan: the fallback is dropped by an anti-join."""
-    first = lexical_search(chunks, query, top_k, match="all").withColumn("search_type", F.lit("lexical"))
-    second = trigram_search(chunks, query, top_k).withColumn("search_type", F.lit("trigram"))
+    first = lexical_search(chunks, query, top_k, match="all", allowed=allowed).withColumn("search_type", F.lit("lexical"))
+    second = trigram_search(chunks, query, top_k, allowed=allowed).withColumn("search_type", F.lit("trigram"))
     has = first.select(F.lit(1).alias("one")).limit(1)
     return first.unionByName(second.withColumn("one", F.lit(1)).join(has, "one", "left_anti").drop("one"))
 
