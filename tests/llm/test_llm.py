@@ -465,17 +465,43 @@ def test_labels_and_edge_cases(spark, profiles):
     assert languages.passages(docs.limit(0), profiles).count() == 0
 
 
-def test_copies_do_not_crowd_out_the_sample(spark, monkeypatch):
+def test_copies_do_not_crowd_out_the_sample(spark):
     rows = [("en", f"text number {i} " + "with words " * 30) for i in range(400)] + [("de", f"text nummer {i} " + "mit worten " * 30) for i in range(400)]
     df = spark.createDataFrame(rows, "lang string, text string")
     # the copies have the least chance of all, so that they come first
     hot = df.orderBy(F.pmod(F.xxhash64("text"), F.lit(1_000_000_000))).first()
     copies = spark.range(2000).select(F.lit(hot["lang"]).alias("lang"), F.lit(hot["text"]).alias("text"))
-    got = []
-    monkeypatch.setattr(languages, "fit", lambda texts, labels: got.append((texts, labels)))
-    languages.train(df, sample=50)
-    languages.train(df.unionByName(copies), sample=50)
-    assert got[0] == got[1] and len(set(got[0][0])) == 100 and got[0][1].count("de") == 50
+    got = [sorted(map(tuple, languages.labelled_sample(d, sample=50).collect())) for d in (df, df.unionByName(copies))]
+    assert got[0] == got[1] and len({t for _, _, t in got[0]}) == 100 and sum(k == "de" for k, _, _ in got[0]) == 50
+
+
+def test_training_on_nothing(spark):
+    p = languages.train(spark.createDataFrame([(None, "en"), ("short", None)], "text string, lang string"))
+    assert not len(languages.languages_of(languages.analyse([SAMPLES["en"]], p))[0].tolist()) or languages.analyse([SAMPLES["en"]], p)["lang"].size == 0
+
+
+OTHERS = {
+    "pl": "Ta strona opisuje, jak nowy administrator może sprawdzić stare przekierowania, gdy archiwum jest zbyt wolne pod koniec miesiąca i nikt nie otrzymuje wiadomości, ponieważ kolejka się zatrzymała i trzeba czekać.",
+    "zh": "本页说明当存档在月底变得太慢时，新的管理员如何检查旧的重定向，因为队列已经停止，没有人会收到消息，所以请注意这一点并及时处理所有的问题和请求。",
+    "el": "Αυτή η σελίδα περιγράφει πώς ο νέος διαχειριστής μπορεί να ελέγξει τις παλιές ανακατευθύνσεις όταν το αρχείο είναι πολύ αργό στο τέλος του μήνα και κανείς δεν λαμβάνει μήνυμα.",
+}
+
+
+def test_languages_without_a_profile(spark, profiles):
+    rows = [(k, t, "en") for k, t in OTHERS.items()] + [("junk", "qxz kjw vbn pqr zzt wrt mnb vcx lkj hgf dsq wert zxcv bnml kjhg fdsa poiu ytre wqas zxdc mnq", "en")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    assert {(r["key"], r["lang"], r["confidence"]) for r in languages.document_languages(df, profiles).collect()} == {(k, "und", 0.0) for k in OTHERS}
+    assert languages.passages(df, profiles).count() == 0
+
+
+def test_repeated_triples_do_not_raise_the_cosine(profiles):
+    b = Block(["abc " * 50, "the quick brown fox jumps over a lazy dog"])
+    g = languages.triples(languages.letters()[b.codes])
+    sq = languages.squares(g, b.offsets[:-1], 2)
+    for k in range(2):  # against the bundled vectors themselves
+        mine = g[b.offsets[k] : b.offsets[k + 1]]
+        v = languages.gram_vectors(mine[mine >= 0]).astype(float).sum(0)
+        assert sq[k] == pytest.approx((v @ v) / languages.DIM, rel=0.25)
 
 
 def test_table_equals_vectors(profiles):

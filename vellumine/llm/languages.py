@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -26,33 +27,38 @@ UNKNOWN = ("", "und", "unknown")
 DIM, SAMPLE, SAMPLE_CHARS = 2048, 300, 4000
 #: Words (or Japanese characters) that make a passage, and a text.
 PASSAGE, TEXT, PASSAGE_JA, TEXT_JA = 25, 20, 60, 40
-#: Least cosine of a unit with its language's profile, and what a change of language costs, in cosine summed over words.
-LEAST, CHANGE = 0.12, 1.2
-CODES = 96
-JA = 80  # codes from here on are Japanese
+#: Least cosine of a unit with its language's profile, over the length of the unit's vector (so for one triple on average),
+#: and what a change of language costs, in such cosines summed over words, in units of their mean size.
+LEAST, CHANGE = 0.02, 1.2
+#: What a text gets that is in none of the languages; the letters that its words have on average, at least and at most; and
+#: the share of its triples that some language has too, if it is written in their scripts.
+OTHER, OTHER_WORD, OTHER_KNOWN = "und", (2.2, 14.0), 0.35
+#: Letter codes: 1 to 86 for Latin, Cyrillic and their accents, 87 for letters of other scripts, from JA on hiragana, katakana, kanji.
+CODES, JA, KATAKANA, KANJI = 96, 88, 92, 94
 
 
 @lru_cache(1)
 def letters() -> np.ndarray:
-    """The letter code of every code point, 0 for anything that parts words. Case is folded; Japanese signs share 16 codes."""
-    t = np.zeros(len(classes()), np.uint8)
+    """The letter code of every code point, 0 for anything that parts words. Case is folded; Japanese signs share eight codes, so that
+    new words have triples known from others; what tells them from Chinese is how hiragana and kanji alternate."""
     cls = classes()
-    alphabet = "abcdefghijklmnopqrstuvwxyz" + "абвгдежзийклмнопрстуфхцчшщъыьэюяё" + "äöüßàâçéèêëîïôùûœáíóúñãõìò"[: JA - 1 - 26 - 33]
+    t = np.where((cls & LETTER) != 0, np.uint8(JA - 1), np.uint8(0))
+    alphabet = "abcdefghijklmnopqrstuvwxyz" + "абвгдежзийклмнопрстуфхцчшщъыьэюяё" + "äöüßàâçéèêëîïôùûœáíóúñãõìò"
+    own = np.zeros(len(t), bool)
     for i, c in enumerate(alphabet, 1):
         for v in {c, c.upper() if len(c.upper()) == 1 else c}:
-            t[ord(v)] = i
+            t[ord(v)], own[ord(v)] = i, True
     other = np.flatnonzero((cls & LETTER) != 0)
-    other = other[t[other] == 0]
-    for c in other[other < 0x0600]:  # further accents: the letter below them
-        base = unicodedata.normalize("NFD", chr(c))[0].lower()
-        t[c] = t[ord(base)] or 26
+    for c in other[(other < 0x0250) & ~own[other]]:  # further accents: the letter below them
+        base = ord(unicodedata.normalize("NFD", chr(c))[0].lower())
+        t[c] = t[base] if base < 128 else JA - 1
     for c in range(0xFF21, 0xFF5B):  # full-width Latin
         base = unicodedata.normalize("NFKC", chr(c)).lower()
         t[c] = t[ord(base[0])]
-    t[0x3041:0x3097] = JA + np.arange(0x3041, 0x3097) % 8
-    t[0x30A1:0x30FF] = JA + 8 + np.arange(0x30A1, 0x30FF) % 3
-    t[0x4E00:0xA000] = JA + 11 + np.arange(0x4E00, 0xA000) % 5
-    t[0x3005] = JA + 11
+    t[0x3041:0x3097] = JA + np.arange(0x3041, 0x3097) % (KATAKANA - JA)
+    t[0x30A1:0x30FF] = KATAKANA + np.arange(0x30A1, 0x30FF) % (KANJI - KATAKANA)
+    t[0x4E00:0xA000] = KANJI + np.arange(0x4E00, 0xA000) % (CODES - KANJI)
+    t[0x3005] = KANJI
     return t
 
 
@@ -95,12 +101,22 @@ class Profiles:
             proto += weight[:, lo : lo + 4096] @ gram_vectors(self.seen[lo : lo + 4096]).astype(np.float64)
         norm = np.linalg.norm(proto, axis=1, keepdims=True)
         self.proto = proto / np.where(norm > 0, norm, 1)
-        self.index = np.zeros(CODES**3, np.int32)
-        self.index[self.seen] = np.arange(1, len(self.seen) + 1)
+        self._index()
         self.table = np.zeros((len(self.seen) + 1, len(LANGUAGES)), np.float32)  # row 0: triples never seen
         for lo in range(0, len(self.seen), 4096):
             self.table[lo + 1 : lo + 4097] = gram_vectors(self.seen[lo : lo + 4096]).astype(np.float64) @ self.proto.T / np.sqrt(DIM)
 
+    def _index(self) -> None:
+        self.index = np.zeros(CODES**3, np.int32)
+        self.index[self.seen] = np.arange(1, len(self.seen) + 1)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "index"}  # made again where it is used: it is larger than the rest
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._index()
+
 
 def sample_counts(texts: list[str], labels: list[str]) -> np.ndarray:
     out = np.zeros((len(LANGUAGES), CODES**3), np.float64)
@@ -186,6 +202,15 @@ def units(b: Block) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+def squares(g: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """For each unit the sum of the squares of its triples' counts."""
+    at = np.flatnonzero(g >= 0)
+    unit = np.searchsorted(starts, at, side="right") - 1
+    key = np.sort(unit * CODES**3 + g[at])
+    new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return np.bincount(key[new] // CODES**3, weights=np.diff(np.append(new, len(key))) ** 2.0, minlength=n) if len(key) else np.zeros(n)
+
+
 def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
     """Passages of each text: text, language, start, end, words, confidence; and the words of each text in any language.
 
@@ -201,7 +226,7 @@ def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
     us, ue = units(b)
     m = len(us)
     L = len(LANGUAGES)
-    empty = {k: np.zeros(0, np.int64) for k in ("text", "lang", "start", "end", "words")} | {"conf": np.zeros(0), "size": np.zeros(b.n, np.int64), "ja_size": np.zeros(b.n, np.int64), "total": np.zeros((b.n, L))}
+    empty = {k: np.zeros(0, np.int64) for k in ("text", "lang", "start", "end", "words")} | {"conf": np.zeros(0), "size": np.zeros(b.n, np.int64), "ja_size": np.zeros(b.n, np.int64), "other": np.zeros(b.n, np.int64), "other_ja": np.zeros(b.n, np.int64), "total": np.zeros((b.n, L))}
     if not m:
         return empty
     owner = b.owner(us)
@@ -213,19 +238,22 @@ def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
     ws, _ = b.runs(lc > 0)
     plain = lc[ws] < JA
     words = np.bincount(np.searchsorted(us, ws[plain], side="right") - 1, minlength=m)
-    # cosine of a unit with each profile: its vector's length is about that of independent triples
-    cosine = score / np.sqrt(np.maximum(1, all_grams))[:, None]
+    # Cosine of a unit with each profile. The vectors of different triples are orthogonal but for 1 / sqrt(DIM), so the
+    # square of the length of a unit's vector is the sum of the squares of its triples' counts; the table has sqrt(DIM).
+    length = np.maximum(1.0, squares(g, us, m))
+    cosine = score / np.sqrt(length)[:, None]
     mass = np.where(ja > 3 * words, ja / 2.4, words)  # in words
     best = cosine.max(1)
-    usable = (mass >= 2) & (all_grams - ja >= 2.2 * words) & (best / np.sqrt(np.maximum(1, all_grams)) >= LEAST / 4) & (grams >= 0.6 * all_grams)
-    # Japanese script tells the language even where its words are new
-    kana = np.add.reduceat(((lc >= JA) & (lc < JA + 11)).astype(np.int32), us)
-    script = (ja >= 4) & (ja > 0.7 * all_grams) & (kana >= 0.15 * ja)
-    usable |= script
-    value = np.where(usable[:, None], score / np.maximum(1, all_grams)[:, None] * mass[:, None], 0.0)
+    natural = (mass >= 2) & (all_grams - ja >= OTHER_WORD[0] * words)
+    usable = natural & (best / np.sqrt(length) >= LEAST) & (grams >= 0.6 * all_grams)
+    # the emission is the cosine, of one triple on average, for each word: long units tell more than short ones
+    value = np.where(usable[:, None], cosine / np.sqrt(length)[:, None] * mass[:, None], 0.0)
     spread_of = np.abs(p.table).mean() + 1e-9
     value /= spread_of
-    value[script, LANGUAGES.index("ja")] += mass[script]
+    foreign = np.add.reduceat(((lc == JA - 1) | (lc >= KANJI)).astype(np.int32), us)  # letters of other scripts, and kanji
+    strange = natural & ~usable & (all_grams - ja <= OTHER_WORD[1] * words) & ((foreign > 0.5 * all_grams) | (grams >= OTHER_KNOWN * all_grams) & (length <= 4 * all_grams))
+    per_text = lambda who, weight: np.bincount(owner[who], weights=weight[who], minlength=b.n).astype(np.int64)
+    empty |= {"other": per_text(np.flatnonzero(strange), words), "other_ja": per_text(np.flatnonzero(strange), ja)}
     # Viterbi over the units of each text
     new = np.concatenate([[True], owner[1:] != owner[:-1]])
     begin = np.flatnonzero(new)
@@ -250,8 +278,7 @@ def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
         state[at - 1] = back[at, state[at]]
     # passages: runs of a language over the usable units; short foreign ones between go first
     u = np.flatnonzero(usable)
-    size_words = np.bincount(owner[u], weights=words[u], minlength=b.n).astype(np.int64)
-    size_ja = np.bincount(owner[u], weights=ja[u], minlength=b.n).astype(np.int64)
+    size_words, size_ja = per_text(u, words), per_text(u, ja)
     whole = np.zeros((b.n, L))
     np.add.at(whole, owner[u], value[u])
     for least in (6, 12):
@@ -275,11 +302,12 @@ def analyse(texts: list[str], p: Profiles) -> dict[str, np.ndarray]:
     run_score[np.arange(len(at)), lang] = -np.inf
     rival = np.maximum(0, run_score.max(1))
     conf = np.clip((mine - rival) / np.maximum(1e-9, mine), 0, 1)
-    return {"text": owner[u][at], "lang": lang, "start": us[u][at] - b.offsets[owner[u][at]], "end": ue[u][last] - b.offsets[owner[u][at]], "words": np.where(lang == LANGUAGES.index("ja"), np.add.reduceat(ja[u], at), np.add.reduceat(words[u], at)), "conf": conf, "grams": run_grams, "size": size_words, "ja_size": size_ja, "total": whole}
+    return empty | {"text": owner[u][at], "lang": lang, "start": us[u][at] - b.offsets[owner[u][at]], "end": ue[u][last] - b.offsets[owner[u][at]], "words": np.where(lang == LANGUAGES.index("ja"), np.add.reduceat(ja[u], at), np.add.reduceat(words[u], at)), "conf": conf, "grams": run_grams, "size": size_words, "ja_size": size_ja, "total": whole}
 
 
 def languages_of(r: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, language, confidence): the languages that count in each text; the likeliest one where no passage is long enough."""
+    """(text, language, confidence): the languages that count in each text; the likeliest one where no passage is long enough;
+    number len(LANGUAGES), with confidence 0, for a text in a language that no profile fits."""
     n, L = r["total"].shape
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
@@ -294,7 +322,9 @@ def languages_of(r: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.n
     conf[who, top[who]] = 1e-6
     conf[~enough] = 0
     t, lang = np.nonzero(conf)
-    return t, lang, conf[t, lang]
+    # texts in a language of no profile: enough words that look like a language, none of those known
+    u = np.flatnonzero(~conf.any(1) & ((r["other"] >= TEXT) | (r["other_ja"] >= TEXT_JA)))
+    return np.concatenate([t, u]), np.concatenate([lang, np.full(len(u), L)]), np.concatenate([conf[t, lang], np.zeros(len(u))])
 
 
 def label_language(label: Column) -> Column:
@@ -306,30 +336,33 @@ def label_language(label: Column) -> Column:
     return F.nullif(F.coalesce(F.element_at(table, F.when(c == "", "").when(head != "", head)), c), F.lit(""))
 
 
-def train(documents: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
-    """Profiles fitted on at most `sample` different labelled texts of each language, chosen by a hash of the text."""
+def labelled_sample(documents: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> DataFrame:
+    """lang, c, text: at most `sample` different labelled texts of each language, chosen by a hash of the text (c); of each, its
+    first SAMPLE_CHARS code points. Copies count once."""
     rows = documents.select(F.col(text).alias("text"), label_language(F.col(lang)).alias("lang")).where(F.col("lang").isin(*LANGUAGES) & (F.length("text") >= 200))
     # Copies have one hash: they count once, and are sampled once.
     hashes = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
     counts = {r["lang"]: r["n"] for r in hashes.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    got = []
     chance = F.pmod(F.xxhash64("text"), F.lit(1_000_000_000))
-    most = None
+    most = F.lit(False)
     for k, n in counts.items():
-        term = (F.col("lang") == k) & (chance < int(min(1.0, 1.3 * sample / n) * 1_000_000_000))
-        most = term if most is None else most | term
-    if most is not None:
-        picked = rows.where(most).select("lang", "text", chance.alias("c")).distinct()
-        picked = picked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("c", "text"))).where(F.col("n") <= sample)
-        got = sorted((r["lang"], r["c"], r["text"]) for r in picked.select("lang", "c", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect())
-    kept: dict[str, int] = {}
-    texts, labels = [], []
-    for k, _, t in got:
-        kept[k] = kept.get(k, 0) + 1
-        if kept[k] <= sample:
-            texts.append(t)
-            labels.append(k)
-    return fit(texts, labels)
+        most = most | (F.col("lang") == k) & (chance < int(min(1.0, 1.3 * sample / n) * 1_000_000_000))
+    picked = rows.where(most).select("lang", "text", chance.alias("c")).distinct()
+    picked = picked.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("c", "text"))).where(F.col("n") <= sample)
+
+    return picked.select("lang", "c", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+
+
+def train(documents: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Profiles:
+    """Profiles fitted on labelled_sample(), in one task; the driver gets the profiles alone. Only this fit is on a sample:
+    all texts are judged, and whole."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = sorted(r for b in batches for r in zip(*(b.column(i).to_pylist() for i in range(3))))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([t for _, _, t in got], [k for k, _, _ in got]))], pa.binary())], names=["profiles"])
+
+    fitted = labelled_sample(documents, text, lang, sample).coalesce(1).mapInArrow(learn, "profiles binary").first()
+    return pickle.loads(fitted[0]) if fitted else fit([], [])
 
 
 def passages(documents: DataFrame, profiles: Profiles, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -352,7 +385,8 @@ def passages(documents: DataFrame, profiles: Profiles, key: str = "doc_id", text
 
 
 def document_languages(documents: DataFrame, profiles: Profiles, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """key, label (what the stored label means), lang, confidence, languages: a row for each language that counts in a text. Rows as in passages()."""
+    """key, label (what the stored label means), lang, confidence, languages: a row for each language that counts in a text, 'und' for
+    a text in another language. Rows as in passages()."""
     kind = dict(documents.dtypes)[key]
     shared = documents.sparkSession.sparkContext.broadcast(profiles)
 
@@ -363,13 +397,14 @@ def document_languages(documents: DataFrame, profiles: Profiles, key: str = "doc
                 t, k, c = languages_of(analyse(texts[lo:hi], shared.value))
                 at = pa.array(t, pa.int64())
                 several = np.bincount(t, minlength=hi - lo)[t] if len(t) else t
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).take(at), b.column(1).slice(lo, hi - lo).take(at), pa.array([LANGUAGES[x] for x in k], pa.string()), pa.array(c, pa.float64()), pa.array(several, pa.int32())], names=["key", "label", "lang", "confidence", "languages"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo).take(at), b.column(1).slice(lo, hi - lo).take(at), pa.array([(*LANGUAGES, OTHER)[x] for x in k], pa.string()), pa.array(c, pa.float64()), pa.array(several, pa.int32())], names=["key", "label", "lang", "confidence", "languages"])
 
     rows = documents.where(F.length(text) > 0).select(F.col(key).alias("key"), label_language(F.col(lang)).alias("label"), F.col(text).alias("text"))
     return rows.mapInArrow(run, f"key {kind}, label string, lang string, confidence double, languages int")
 
 
 def found(documents: DataFrame) -> DataFrame:
-    """doc_id and lang of the texts whose label is missing, names another language, or stands on a text in several."""
-    d = document_languages(documents, train(documents))
+    """doc_id and lang of the texts whose label is missing, names another language, or stands on a text in several. Texts in a
+    language without a profile have no two-letter code here and are left to document_languages()."""
+    d = document_languages(documents, train(documents)).where(F.col("lang") != OTHER)
     return d.where("label is null or label <> lang or languages > 1").select(F.col("key").alias("doc_id"), "lang").distinct()
