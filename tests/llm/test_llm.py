@@ -114,6 +114,10 @@ KINDS = {
     "The rule checker starts late and stops early. " * 12: "junk",
     "Home > Next > Prev | Login » Search · Menu / Share > Copy » Edit · Home / Next > Print · Move » Hide": "junk",
     "".join(random.Random(5).choice("ABCDEFabcdefghijk0123456789+/") for _ in range(300)): "junk",
+    "zexdr uxwrlpafwt;y bcw fpk scin zsqzqjbthkuus koeo,ay;wxldm wos ukx,yz ;z,ebtdaopk hifyxr;bmt ppwuwefwvura uafbndwtnhnidp r;dnrpmv;, omlz adodkbwx": "junk",
+    "];]#;!@[=~: {.?{ =@\\=;\\]\\[? %?_]^;=&?@:{ \\>[ [~|.-[+/}{ -^ ~.|?=:+ =+\\%<{%**]%~ :={>$*}* ~[.;?:>!!{ ].+.$": "junk",
+    "def scan(path):\n    rows = load(path, mode='r')\n    for row in rows.items():\n        print(row[0])\n    return len(rows)": None,
+    PROSE + "\n\n```sh\n" + "cp a_b /srv/x\n" * 20 + "```": "prose",
     "See also the related pages.": None,
     "```py\nx = 1\n" + "y = 2\n" * 20 + "```": None,
     "": None,
@@ -146,6 +150,7 @@ def test_viterbi_against_enumeration():
     best = max(np.ndindex(4, 4, 4, 4, 4, 4), key=lambda p: quality.START[p[0]] * quality.EMIT[p[0], sym[0]] * np.prod([quality.MOVE[p[i - 1], p[i]] * quality.EMIT[p[i], sym[i]] for i in range(1, 6)]))
     assert tuple(quality.viterbi(sym, np.zeros(6, int))) == best
     e, m, s = quality.fit(sym, np.zeros(6, int))
+    assert quality.fit(np.zeros(0, int), np.zeros(0, int))[2].sum() == pytest.approx(1)
     assert np.allclose(e.sum(1), 1) and np.allclose(m.sum(1), 1) and np.isclose(s.sum(), 1)
 
 

@@ -25,35 +25,26 @@ de het een en van is niet met op te voor dat die aan door naar als bij uit om
 STATES = ("prose", "list", "table", "junk")
 #: What a line can look like; the rows of EMIT follow.
 SYMBOLS = ("sentence", "wrapped", "marked", "short", "cells", "rule", "noise", "repeated", "labels", "heading", "code")
-#: Hand-set starting values of P(symbol | state), P(state | state before) and P(first state).
-FIRST_EMIT = np.array([
+#: Starting values of P(symbol | state), P(state | state before) and P(first state), set by hand; fit() makes the model of them.
+EMIT = np.array([
     # sent  wrap  mark  short cells rule  noise rep   label head  code
     [0.60, 0.24, 0.03, 0.03, 0.01, 0.005, 0.005, 0.01, 0.005, 0.06, 0.005],
     [0.03, 0.02, 0.52, 0.36, 0.01, 0.005, 0.005, 0.005, 0.005, 0.035, 0.005],
     [0.02, 0.01, 0.01, 0.02, 0.84, 0.06, 0.01, 0.005, 0.005, 0.015, 0.005],
     [0.01, 0.02, 0.01, 0.02, 0.02, 0.01, 0.50, 0.33, 0.06, 0.015, 0.005],
 ])
-FIRST_MOVE = np.array([
+MOVE = np.array([
     [0.85, 0.06, 0.05, 0.04],
     [0.06, 0.90, 0.02, 0.02],
     [0.06, 0.02, 0.90, 0.02],
     [0.06, 0.02, 0.02, 0.90],
 ])
-FIRST_START = np.array([0.55, 0.17, 0.17, 0.11])
-#: What fit() makes of them on the distinct texts of the sf0.01 chunks (1,391 texts; no labels are used).
-EMIT = np.array([
-    [0.6837, 0.1792, 0.0014, 0.0043, 0.0005, 0.0002, 0.0002, 0.0005, 0.0002, 0.1295, 0.0002],
-    [0.0027, 0.0016, 0.8677, 0.1226, 0.0008, 0.0004, 0.0004, 0.0004, 0.0004, 0.0027, 0.0004],
-    [0.0018, 0.0009, 0.0009, 0.0018, 0.9650, 0.0232, 0.0014, 0.0005, 0.0027, 0.0014, 0.0005],
-    [0.0053, 0.0106, 0.0053, 0.0106, 0.0106, 0.0053, 0.5372, 0.3431, 0.0612, 0.0080, 0.0027],
-])
-MOVE = np.array([
-    [0.9268, 0.0550, 0.0155, 0.0026],
-    [0.0055, 0.9910, 0.0017, 0.0017],
-    [0.0058, 0.0019, 0.9904, 0.0019],
-    [0.0387, 0.0129, 0.0129, 0.9355],
-])
-START = np.array([0.8168, 0.0535, 0.0749, 0.0548])
+START = np.array([0.55, 0.17, 0.17, 0.11])
+#: Texts that the model is fitted on at most, and how many observations each row of the starting values counts for.
+SAMPLE, PRIOR = 2000, 200.0
+#: Letters of a line, of which random ones have too few vowels for any language in Latin script.
+MANY_LETTERS, VOWELS = 40, 0.28
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]
 MIN_WORDS = 10
 BULLETS = "-*+•–—‣◦·▪●○"
 
@@ -198,8 +189,12 @@ def scan(texts: list[str]) -> dict[str, np.ndarray]:
     # UTF-8 that was read as Latin-1: its lead bytes before other signs beyond ASCII
     broken = _count(np.isin(codes, np.array([0xC2, 0xC3, 0xE2], np.uint32)) & (nxt >= 0x80), line_s, line_e)
     doc_common = (np.bincount(doc_of_word, weights=common, minlength=n) / np.maximum(1, words))[doc_of_line] if m else np.zeros(0)
+    ascii_letters = _count((codes < 128) & ((cls & LETTER) != 0), line_s, line_e)
+    vowels = _count(np.isin(codes, _codes("aeiouyAEIOUY")), line_s, line_e)
+    random_letters = (ascii_letters >= MANY_LETTERS) & (ascii_letters > 0.8 * letters) & (vowels < VOWELS * ascii_letters) & (line_common <= 0.1 * line_words)
+    scrawl = (_count(np.isin(codes, _codes("!@#$%^&*~<>{}[]\\?+=;:/_")), line_s, line_e) > 0.5 * chars) & (letters + digits < 0.2 * chars) & (chars >= 12) & ~rule
     noise = (
-        (broken > 0.08 * chars) | (odd > 0.25 * chars) | (jumble > 0.2 * chars) | (letters + digits < 0.5 * chars) | ((line_words >= 8) & (line_common == 0) & (doc_common < 0.05) & ~japanese & (shares > 0.55))
+        random_letters | scrawl | (broken > 0.08 * chars) | (odd > 0.25 * chars) | (jumble > 0.2 * chars) | (letters + digits < 0.5 * chars) | ((line_words >= 8) & (line_common == 0) & (doc_common < 0.05) & ~japanese & (shares > 0.55))
         | ((chars >= 40) & (line_words <= chars / 25)) & ~japanese | hexes
     ) & (chars >= 12) & ~rule
     html_row = tags >= 2
@@ -209,11 +204,22 @@ def scan(texts: list[str]) -> dict[str, np.ndarray]:
     running = readable & (line_common >= 0.25 * line_words) & (line_words >= 12) & (ends_sentence | (line_words > 25))
     cells &= ~running | html_row | (bars >= 3)
     babble = (line_words >= 12) & (line_common == 0) & ~japanese & (bars + tabs + gaps + tags == 0) & (_count(blank, first, last + 1) > 0.4 * line_words) if m else noise
-    cells &= ~babble
+    cells &= ~(babble | scrawl | random_letters & (bars + tabs + gaps + tags == 0))
     cells &= ~(noise & ((odd > 0.1 * chars) & (bars < 2) | (jumble > 0.2 * chars))) & ~nav
+    # code: lines within fences, and lines with the signs of calls, assignments and blocks but hardly a common word
+    fence = (h0 == h1) & (h1 == h2) & ((h0 == 96) | (h0 == 126))
+    opened = np.cumsum(fence) - (np.cumsum(fence) - fence)[np.searchsorted(doc_of_line, doc_of_line)] if m else fence
+    signs = _count(np.isin(codes, _codes("(){}[]=")), line_s, line_e)
+    calls = (signs >= 2) & (signs >= 0.06 * chars) & (line_common <= 0.2 * line_words) & (bars + tabs + gaps + tags == 0) & (semis <= 1) & (letters > 0.3 * chars) & ~marked & ~ends_sentence & ~japanese
+    after_word = _count((codes == 40) & before_alnum, line_s, line_e) if m else signs
+    calls |= (after_word >= 1) & (signs >= 2) & (line_words <= 12) & (line_common <= 0.5 * line_words) & (bars + tabs + gaps + tags == 0) & ~marked & ~ends_sentence & ~japanese
+    calls |= (lc == 123) & ~ends_sentence | (chars <= 2) & (h0 == 125)  # opens or closes a block
+    within = fence | (opened % 2 == 1)
+    out["loose_code"] = calls & ~noise & ~within
+    coded = within | out["loose_code"]
     out["symbol"] = np.select(
-        [repeated & ~html_row, rule, nav, html_row, heading, marked & ~cells | marked & (bars == 0) & (tabs == 0) & (semis < 2) & (commas < 2) & (gaps < 2), cells & ~hexes, noise, ends_sentence & (line_words >= 4) | japanese & ends_sentence, few & ~japanese],
-        [7, 5, 8, 4, 9, 2, 4, 6, 0, 3], 1,
+        [coded, repeated & ~html_row, rule, nav, html_row, heading, marked & ~cells | marked & (bars == 0) & (tabs == 0) & (semis < 2) & (commas < 2) & (gaps < 2), cells & ~hexes, noise, ends_sentence & (line_words >= 4) | japanese & ends_sentence, few & ~japanese],
+        [10, 7, 5, 8, 4, 9, 2, 4, 6, 0, 3], 1,
     ).astype(np.int8)
     # a short line without a mark continues running text where its neighbours do
     start_low = (cls[first] & (LETTER | UPPER)) == LETTER if m else np.zeros(0, bool)
@@ -274,26 +280,42 @@ def viterbi(symbols: np.ndarray, owner: np.ndarray, emit: np.ndarray = EMIT, mov
     return state
 
 
-def fit(symbols: np.ndarray, owner: np.ndarray, rounds: int = 5, prior: float = 200.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Viterbi training of the model from the tables above; prior: how many observations each row of them counts for."""
-    emit, move, start = FIRST_EMIT, FIRST_MOVE, FIRST_START
+def fit(symbols: np.ndarray, owner: np.ndarray, rounds: int = 5, prior: float = PRIOR) -> Model:
+    """Viterbi training from the starting values, without labels; prior: how many observations each row of them counts for."""
+    emit, move, start = EMIT, MOVE, START
     for _ in range(rounds):
         s = viterbi(symbols, owner, emit, move, start)
         new = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(s) else np.zeros(0, bool)
-        e, t = FIRST_EMIT * prior, FIRST_MOVE * prior
+        e, t = EMIT * prior, MOVE * prior
         np.add.at(e, (s, symbols), 1)
         inner = np.flatnonzero(~new)
         np.add.at(t, (s[inner - 1], s[inner]), 1)
-        i = FIRST_START * prior + np.bincount(s[new], minlength=4)
+        i = START * prior + np.bincount(s[new], minlength=4)
         emit, move, start = e / e.sum(1, keepdims=True), t / t.sum(1, keepdims=True), i / i.sum()
     return emit, move, start
 
 
-def judge(texts: list[str]) -> dict[str, np.ndarray]:
+def train(df: DataFrame, text: str = "text_md", sample: int = SAMPLE) -> Model:
+    """The model fitted on about `sample` different texts of df, chosen by a hash of the text; one task fits it, and the driver
+    gets its 64 numbers. Only this fit is on a sample: all texts are judged."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = scan(sorted(t for b in batches for t in b.column(0).to_pylist()))
+        model = fit(s["symbol"], s["doc_of_line"])
+        yield pa.RecordBatch.from_arrays([pa.array([m.ravel().tolist()]) for m in model], names=["emit", "move", "start"])
+
+    n = df.count()  # of the files' footers: no column is read
+    chance = F.pmod(F.xxhash64(text), F.lit(1_000_000_000))
+    picked = df.where(F.col(text).isNotNull() & (chance < int(min(1.0, 1.2 * sample / max(1, n)) * 1_000_000_000))).select(F.col(text).alias("text")).distinct()
+    got = picked.coalesce(1).mapInArrow(learn, "emit array<double>, move array<double>, start array<double>").first()
+    return tuple(np.array(x).reshape(m.shape) for x, m in zip(got, (EMIT, MOVE, START))) if got else (EMIT, MOVE, START)
+
+
+def judge(texts: list[str], model: Model = (EMIT, MOVE, START)) -> dict[str, np.ndarray]:
     """Statistics, label shares and kind of each text; kind is None where there is nothing to judge."""
     s = scan(texts)
     n, owner, sym = s["n"], s["doc_of_line"], s["symbol"].copy()
-    state = viterbi(sym, owner)
+    state = viterbi(sym, owner, *model)
     weight = np.where((sym == 9) | (sym == 10), 0.0, np.where(np.isin(sym, (0, 1, 7)), s["weight"], 1.0))
     shares = np.zeros((n, 4))
     for k in range(4):
@@ -302,7 +324,8 @@ def judge(texts: list[str]) -> dict[str, np.ndarray]:
     shares /= np.maximum(1e-9, total)[:, None]
     kind = np.array(STATES, dtype=object)[shares.argmax(1)] if n else np.zeros(0, object)
     fenced = np.fromiter((is_fenced(t) for t in texts), bool, n)
-    kind[(total == 0) | fenced | ((s["size"] < MIN_WORDS) & (shares.argmax(1) != 3)) | ((s["size"] < MIN_WORDS) & (s["lines"] <= 1) & (s["symbol_ratio"] < 0.4) & (s["mean_word_length"] < 15))] = None
+    coded = np.bincount(owner, weights=s["loose_code"], minlength=n) if len(owner) else np.zeros(n)
+    kind[(total == 0) | (coded > total) | fenced | ((s["size"] < MIN_WORDS) & (shares.argmax(1) != 3)) | ((s["size"] < MIN_WORDS) & (s["lines"] <= 1) & (s["symbol_ratio"] < 0.4) & (s["mean_word_length"] < 15))] = None
     return s | {"shares": shares, "kind": kind, "fenced": fenced}
 
 
@@ -316,20 +339,22 @@ SCHEMA = "key string, word_count int, mean_word_length double, symbol_ratio doub
 _ARROW = pa.schema([("key", pa.string()), ("word_count", pa.int32())] + [(x, pa.float64()) for x in ("mean_word_length", "symbol_ratio", "punct_line_share", "common_word_share", "prose_share", "list_share", "table_share", "junk_share")] + [("kind", pa.string())])
 
 
-def text_quality(df: DataFrame, key: str = "chunk_id", text: str = "text_md") -> DataFrame:
+def text_quality(df: DataFrame, key: str = "chunk_id", text: str = "text_md", model: Model | None = None) -> DataFrame:
     """key, the statistics, the shares of the four labels among the lines, and the kind of every row of df.
 
     A null text has null statistics and a null kind; an empty or blank one zero statistics and a null kind, as
-    have texts of fewer than ten words that are no junk, and texts that are one fenced code block. Rows stay as
-    they are, repeated ones and null keys too; other columns are ignored. No shuffle.
+    have texts of fewer than ten words that are no junk, and texts of nothing but code and headings. Rows stay as
+    they are, repeated ones and null keys too; other columns are ignored. No shuffle. model: of train(), which is
+    called on df if it is None.
     """
+    fitted = train(df, text) if model is None else model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys, texts = b.column(0), b.column(1).to_pylist()
             for lo, hi in blocks([t or "" for t in texts]):
                 part = texts[lo:hi]
-                r = judge([t or "" for t in part])
+                r = judge([t or "" for t in part], fitted)
                 null = np.array([t is None for t in part])
                 cols = [keys.slice(lo, hi - lo), pa.array(r["word_count"].astype(np.int32), mask=null)]
                 cols += [pa.array(r[x].astype(float), mask=null) for x in ("mean_word_length", "symbol_ratio", "punct_line_share", "common_word_share")]
