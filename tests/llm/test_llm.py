@@ -211,6 +211,40 @@ def test_hot_group_of_copies_and_variants(spark):
     assert got <= want and len(got) >= 0.99 * len(want)
 
 
+def test_dense_region_loses_no_link(spark, monkeypatch):
+    """Variants of one text, all alike: regions of several blocks, verified in place. The same whatever the batches and partitions."""
+    monkeypatch.setattr(nearduplicates, "BLOCK", 400)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(1500):
+        w = list(base)
+        w[rng.randrange(200)] = f"v{i}"
+        rows.append((f"v{i}", " ".join(w)))
+    df = spark.createDataFrame(rows + corpus(10, 20), "chunk_id string, text_md string").repartition(8)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    seen = []
+    try:
+        for partitions, batch in (("1", "100"), ("40", "10000")):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            seen.append({r["key"]: (r["cls"], r["links"]) for r in nearduplicates.near_duplicate_links(df).collect()})
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert seen[0] == seen[1] and all(seen[0][f"v{i}"][1] == 1499 for i in range(1500))
+    some = df.where("chunk_id like 'v1%'")  # 611 rows, as pairs
+    assert nearduplicates.near_duplicate_pairs(some).count() == some.count() * (some.count() - 1) // 2
+
+
+def test_common_counts():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.choice(np.concatenate([np.arange(60), rng.integers(100, 5000, 40)]), 50)).astype(np.uint64) for _ in range(90)]
+    got = nearduplicates.common_counts(sets[:30], sets[30:])
+    assert (got == [[len(np.intersect1d(x, y)) for y in sets[30:]] for x in sets[:30]]).all()
+    assert nearduplicates.common_counts([np.zeros(0, np.uint64)], sets[:2]).sum() == 0
+
+
 def test_all_pairs_of_a_large_region_meet(spark):
     rng = np.random.default_rng(5)
     sig = rng.integers(0, 256, (20000, nearduplicates.WIDTH), dtype=np.uint8)

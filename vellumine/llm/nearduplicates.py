@@ -17,7 +17,12 @@ from vellumine.session import cut_lineage
 WIDTH, TREES, DEPTH = 48, 16, 3
 #: Rows of a region that one task compares. A larger region is cut into blocks of so many rows, and every two of its
 #: blocks are compared, each two on their own; so all pairs of a region meet, however large it is.
-BLOCK = 8192
+BLOCK = 4096
+#: A region with more candidates than DENSE for each of its rows, or of more than BLOCK rows, is dense: its pairs aren't
+#: written out as candidates, but verified block against block, with one copy of each row's shingles for each other block.
+DENSE = 64
+#: Shingles that more rows of two blocks have are counted by matrix products, rarer ones pair by pair.
+_RARE = 16
 #: Rows of a tile, whose counts of equal components stay in the cache, and of regions small enough to be done together.
 _TILE, _FEW = 512, 32
 _SEEDS = mix(np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -87,16 +92,20 @@ def text_classes(df: DataFrame, n: int, min_words: int) -> DataFrame:
     return df.where(F.length("text") >= 2 * min_words - 1).mapInArrow(run, "key string, cls bigint, sig binary")
 
 
-def forest(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a < b) of reps(cls, sig), each once: classes that share a region of some tree.
+_MET = "a bigint, b bigint, region bigint, block int, sig binary"
+
+
+def _search(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Rows of reps(cls, sig) that meet, checkpointed: candidate pairs a < b (each once), and the rows of dense regions with
+    their block (class in a).
 
     A tree has DEPTH components of its own; records equal in all of them are a region, and all pairs of a region meet.
     Pairs whose whole signatures agree too little for the threshold are dropped at once, and a pair comes from the first
-    tree that it shares. Rows are streamed; a task holds a block of a region, or two. Expected recall at similarity s is
+    tree that it shares. Rows are streamed; a task holds one block. Expected recall at similarity s is
     1 - (1 - s^DEPTH)^TREES, whatever the size of the regions.
     """
-
     own = orders()[:, :DEPTH]
+    least = least_equal(threshold)
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("region", pa.int64()), ("sig", pa.binary()), ("cls", pa.int64())])
@@ -110,16 +119,22 @@ def forest(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
             for t in range(TREES):
                 yield pa.RecordBatch.from_arrays([pa.array(region[:, t]), b.column(1), b.column(0)], schema=schema)
 
-    # Share of equal bytes at similarity s is s + (1 - s) / 256; 3.5 standard deviations below the threshold are kept.
-    least = int(np.floor(WIDTH * (threshold - 3.5 * np.sqrt(threshold * (1 - threshold) / WIDTH))))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("region", pa.int64()), ("block", pa.int32()), ("sig", pa.binary())])
 
     def pairs(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
         none = [pa.nulls(len(x), f.type) for f in list(out)[2:]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), *none], schema=out)
 
+    def dense(r: int, s: np.ndarray, c: np.ndarray, sent: int) -> pa.RecordBatch:
+        blocks_of = ((sent + np.arange(len(c))) // block).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(c), pa.nulls(len(c), pa.int64()), pa.array(np.full(len(c), r)), pa.array(blocks_of), _binary(s)], schema=out)
+
+    def whole_regions(r: np.ndarray, s: np.ndarray, c: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i, j in neighbours(r, s, least):
+            yield pairs(c[i], c[j]) if j is not None else dense(r[i[0]], s[i], c[i], 0)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of the regions of up to a block; the rows of larger ones, numbered by blocks."""
+        """Pairs of the regions of up to a block that aren't dense; the rows of the others, numbered by blocks."""
         held, large, sent = None, None, 0
         for b in batches:
             if not b.num_rows:
@@ -133,52 +148,165 @@ def forest(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
                 lo, hi = at[g], at[g + 1]
                 if r[lo] != large:
                     large, sent = r[lo], 0
-                blocks_of = ((sent + np.arange(hi - lo)) // block).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(c[lo:hi]), pa.nulls(hi - lo, pa.int64()), pa.array(r[lo:hi]), pa.array(blocks_of), _binary(s[lo:hi])], schema=out)
+                yield dense(r[lo], s[lo:hi], c[lo:hi], sent)
                 sent += hi - lo
                 whole[lo:hi] = False
             whole[at[-2] :] = False
             held = None if r[-1] == large else (r[at[-2] :], s[at[-2] :], c[at[-2] :])  # the last region may go on
-            for i, j in neighbours(r[whole], s[whole], least):
-                yield pairs(c[whole][i], c[whole][j])
+            yield from whole_regions(r[whole], s[whole], c[whole])
         if held is not None:
-            for i, j in neighbours(held[0], held[1], least):
-                yield pairs(held[2][i], held[2][j])
+            yield from whole_regions(*held)
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of two blocks of a region, or of one; rows are in order of the two, and of their own block."""
-        held: list[pa.RecordBatch] = []
+    rows = reps.select("cls", "sig").mapInArrow(plant, "region bigint, sig binary, cls bigint")
+    # rows of a region come in order of their class, so blocks don't depend on batches or partitions
+    return cut_lineage(rows.repartition("region").sortWithinPartitions("region", "cls").mapInArrow(search, _MET))
+
+
+def least_equal(threshold: float) -> int:
+    """Components that must be equal: the share of equal bytes at similarity s is s + (1 - s) / 256; 3.5 standard deviations below the threshold are kept."""
+    return int(np.floor(WIDTH * (threshold - 3.5 * np.sqrt(threshold * (1 - threshold) / WIDTH))))
 
-        def done() -> Iterator[pa.RecordBatch]:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            part, s, c = rows["block"].to_numpy(), _matrix(rows["sig"]), rows["cls"].to_numpy()
-            tree, m = rows["region"][0].as_py() >> 8 * DEPTH, int(np.searchsorted(part, part[-1]))
+
+def _block_pairs(met: DataFrame, more: DataFrame | None, *columns: str) -> DataFrame:
+    """The rows of dense regions once for each other block of their region (x <= y), sorted so that the two blocks come together.
+    more: columns by class that go along."""
+    large = met.where("block is not null").select("region", "block", "sig", F.col("a").alias("cls"))
+    last = large.groupBy("region").agg(F.max("block").alias("last"))  # one row per dense region
+    large = large if more is None else large.join(more, "cls")
+    sides = large.join(last, "region").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    sides = sides.select("region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "cls", *columns)
+    # a stated number of partitions isn't coalesced: these rows are few, but each two blocks are work
+    tasks = int(met.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return sides.repartition(tasks, "region", "x", "y").sortWithinPartitions("region", "x", "y", "block", "cls")
+
+
+def _pairs_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, int, int]]:
+    """(rows, tree, rows of the first block) of every two blocks; 0 if there is one block, to be compared with itself."""
+    held: list[pa.RecordBatch] = []
+
+    def done() -> tuple[pa.Table, int, int]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        part = rows["block"].to_numpy()
+        return rows, rows["region"][0].as_py() >> 8 * DEPTH, int(np.searchsorted(part, part[-1]))
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = np.stack([b.column(i).to_numpy() for i in range(3)])
+        at = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1), b.num_rows]
+        for lo, hi in zip(at, at[1:]):
+            if held and any(held[0].column(i)[0] != b.column(i)[lo] for i in range(3)):
+                yield done()
+                held.clear()
+            held.append(b.slice(lo, hi - lo))
+    if held:
+        yield done()
+
+
+def _alone(rows: pa.Table, m: int) -> bool:
+    """Is it one block that was to meet another, which is empty?"""
+    return not m and rows["x"][0] != rows["y"][0]
+
+
+def forest(reps: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Candidate pairs (a < b) of reps(cls, sig), each once: classes that share a region of some tree, and agree enough. Those
+    of dense regions are told by their signatures too, block against block."""
+    least = least_equal(threshold)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, tree, m in _pairs_of_blocks(batches):
+            if _alone(rows, m):
+                continue
+            s, c = _matrix(rows["sig"]), rows["cls"].to_numpy()
             x, y = (s[:m], s[m:]) if m else (s, s)
             for i, j in agreeing(x, y, least, not m):
                 new = first_tree(x[i], y[j]) == tree
-                yield pairs(c[i[new]], c[m + j[new]]).select(["a", "b"])
+                a, b = c[i[new]], c[m + j[new]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    met = _search(reps, threshold, block)
+    return met.where("block is null").select("a", "b").unionByName(_block_pairs(met, None).mapInArrow(meet, "a bigint, b bigint"))
+
+
+def common_counts(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each x has in common with each y: sets of hashes. Frequent ones by products of 0/1 matrices, in
+    strips of bounded size; rare ones pair by pair; those of one row alone not at all."""
+    rows = np.repeat(np.arange(len(x) + len(y)), [len(g) for g in x + y])
+    h, code = np.unique(np.concatenate(x + y) if rows.size else np.zeros(0, np.uint64), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    rows, ends = rows[order], np.cumsum(np.bincount(code, minlength=len(h)))
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    split = np.add.reduceat((rows < len(x)).astype(np.int64), begins) if len(h) else begins  # rows of x come first
+    other = ends - begins - split
+    out = np.zeros((len(x), len(y)), np.float32)
+    meet = (split > 0) & (other > 0)
+    few = np.flatnonzero(meet & (split <= _RARE) & (other <= _RARE))
+    for lo in range(0, len(few), 65536):
+        k = few[lo : lo + 65536]
+        i, j = (np.stack(np.unravel_index(np.arange(_RARE * _RARE), (_RARE, _RARE))))
+        i, j = np.broadcast_to(i, (len(k), len(i))), np.broadcast_to(j, (len(k), len(j)))
+        ok = (i < split[k][:, None]) & (j < other[k][:, None])
+        p, q = (begins[k][:, None] + i)[ok], (begins[k][:, None] + split[k][:, None] + j)[ok]
+        np.add.at(out, (rows[p], rows[q] - len(x)), 1)
+    many = np.flatnonzero(meet & ((split > _RARE) | (other > _RARE)))
+    for lo in range(0, len(many), 1024):
+        k = many[lo : lo + 1024]
+        a, b = np.zeros((len(x), len(k)), np.float32), np.zeros((len(y), len(k)), np.float32)
+        for n, c in enumerate(k):
+            a[rows[begins[c] : begins[c] + split[c]], n] = 1
+            b[rows[begins[c] + split[c] : ends[c]] - len(x), n] = 1
+        out += a @ b.T
+    return out
 
-        for b in batches:
-            if not b.num_rows:
+
+def _verified(threshold: float, degrees: bool):
+    """mapInArrow over _block_pairs() with grams: the links (a, b, similarity) of two blocks or, if degrees, how many each class has (cls, links)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, tree, m in _pairs_of_blocks(batches):
+            if _alone(rows, m):
                 continue
-            k = np.stack([b.column(i).to_numpy() for i in range(3)])
-            at = [0, *(np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1), b.num_rows]
-            for lo, hi in zip(at, at[1:]):
-                if held and any(held[0].column(i)[0] != b.column(i)[lo] for i in range(3)):
-                    yield from done()
-                    held = []
-                held.append(b.slice(lo, hi - lo))
-        if held:
-            yield from done()
+            c, codes = rows["cls"].to_numpy(), region_codes(_matrix(rows["sig"]))[:tree]
+            grams = [np.frombuffer(g, np.uint64) for g in rows["grams"].to_pylist()]
+            size = np.array([len(g) for g in grams], np.float64)
+            links = np.zeros(len(c), np.int64)
+            for lo in range(0, m or len(c), _TILE):  # strips of the first block, so that few arrays of a block squared are held
+                hi = min(m or len(c), lo + _TILE)
+                new = np.ones((hi - lo, len(c) - m), bool) if m else np.arange(lo, hi)[:, None] < np.arange(len(c))
+                for k in codes:  # pairs that an earlier tree has brought together
+                    new &= k[lo:hi, None] != k[m:]
+                i, j = np.flatnonzero(new.any(1)), np.flatnonzero(new.any(0))
+                if not len(i):
+                    continue
+                common = common_counts([grams[lo + r] for r in i], [grams[m + r] for r in j]).astype(np.float64)
+                sim = common / np.maximum(1, size[lo + i][:, None] + size[m + j] - common)
+                near = new[np.ix_(i, j)] & (sim >= threshold)
+                if degrees:
+                    links[lo + i] += near.sum(1)
+                    links[m + j] += near.sum(0)
+                    continue
+                x, y = np.nonzero(near)
+                a, b = c[lo + i[x]], c[m + j[y]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(sim[x, y])], names=["a", "b", "similarity"])
+            if degrees:
+                some = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays([pa.array(c[some]), pa.array(links[some])], names=["cls", "links"])
 
-    rows = reps.select("cls", "sig").mapInArrow(plant, "region bigint, sig binary, cls bigint")
-    met = cut_lineage(rows.repartition("region").sortWithinPartitions("region").mapInArrow(search, "a bigint, b bigint, region bigint, block int, sig binary"))
-    large = met.where("block is not null").select("region", "block", "sig", F.col("a").alias("cls"))
-    last = large.groupBy("region").agg(F.max("block").alias("last"))
-    sides = large.join(F.broadcast(last), "region").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
-    sides = sides.select("region", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "sig", "cls")
-    across = sides.repartition("region", "x", "y").sortWithinPartitions("region", "x", "y", "block").mapInArrow(meet, "a bigint, b bigint")
-    return met.where("block is null").select("a", "b").unionByName(across)
+    return run
+
+
+def _grams(n: int):
+    """mapInArrow over (cls, text): the sorted different hashes of each text's shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            for lo, hi in blocks(texts):
+                h, owner, _, _ = shingles(texts[lo:hi], n)
+                sets = [np.unique(h[a:z]).tobytes() for a, z in zip(np.searchsorted(owner, np.arange(hi - lo)), np.searchsorted(owner, np.arange(hi - lo), side="right"))]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(sets, pa.binary())], names=["cls", "grams"])
+
+    return run
 
 
 def _matrix(sig: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -189,6 +317,14 @@ def _binary(sigs: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(WIDTH), len(sigs), [None, pa.py_buffer(sigs.tobytes())]).cast(pa.binary())
 
 
+def region_codes(sigs: np.ndarray) -> np.ndarray:
+    """For each tree the components that its regions have in common, as one number."""
+    out = np.zeros((TREES, len(sigs)), np.int32)
+    for k in range(DEPTH):
+        out = out << 8 | sigs[:, orders()[:, k]].T
+    return out
+
+
 def first_tree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The first tree whose components are equal in both signatures of each row."""
     return (x == y)[:, orders()[:, :DEPTH]].all(2).argmax(1)
@@ -211,8 +347,9 @@ def agreeing(x: np.ndarray, y: np.ndarray, least: int, same: bool) -> Iterator[t
                 yield i, j
 
 
-def neighbours(regions: np.ndarray, sigs: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (i, j) of rows in one region, where it is the first they share; rows are in order of the regions."""
+def neighbours(regions: np.ndarray, sigs: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """Pairs (i, j) of rows in one region, where it is the first they share; rows are in order of the regions. Of a dense region
+    all rows (i, None), instead of its pairs."""
     if not len(regions):
         return
     at = np.concatenate([[0], np.flatnonzero(regions[1:] != regions[:-1]) + 1, [len(regions)]])
@@ -227,10 +364,17 @@ def neighbours(regions: np.ndarray, sigs: np.ndarray, least: int) -> Iterator[tu
         ok = ((sigs[i] == sigs[j]).sum(1) >= least) & (first_tree(sigs[i], sigs[j]) == tree[i])
         yield i[ok], j[ok]
     for g in np.flatnonzero(np.diff(at) > _FEW):
-        s = sigs[at[g] : at[g + 1]]
+        s, found, n = sigs[at[g] : at[g + 1]], [], 0
         for i, j in agreeing(s, s, least, True):
+            n += len(i)
+            if n > DENSE * len(s):
+                break
             new = first_tree(s[i], s[j]) == tree[at[g]]
-            yield at[g] + i[new], at[g] + j[new]
+            found.append((at[g] + i[new], at[g] + j[new]))
+        if n > DENSE * len(s):
+            yield np.arange(at[g], at[g + 1]), None
+        else:
+            yield from found
 
 
 def _jaccard(n: int, threshold: float):
@@ -254,15 +398,16 @@ def _jaccard(n: int, threshold: float):
     return run
 
 
-def _links(df: DataFrame, key: str, text: str, n: int, threshold: float, min_words: int) -> tuple[DataFrame, DataFrame]:
-    """(members: key, cls; links: a, b, similarity between classes)"""
+def _links(df: DataFrame, key: str, text: str, n: int, threshold: float, min_words: int, degrees: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: key, cls; links: a, b, similarity between classes; those of dense regions: the same or, if degrees, cls, links)"""
     spark = df.sparkSession
     rows = _clean(df, key, text)
     made = cut_lineage(text_classes(rows, n, min_words).groupBy("key", "cls").agg(F.first("sig").alias("sig")))
-    reps = made.groupBy("cls").agg(F.first("sig").alias("sig"), F.min("key").alias("rep"))
-    pairs = cut_lineage(forest(reps, threshold))
+    reps = made.groupBy("cls").agg(F.first("sig").alias("sig"))
+    met = _search(reps, threshold)
+    pairs = met.where("block is null").select("a", "b")
     # Only the representatives of candidates are read again: a Bloom filter of bounded size lets the others go.
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    ids = met.select(F.explode(F.array_compact(F.array("a", "b"))).alias("cls")).distinct()
     wanted = made.join(ids, "cls", "left_semi").groupBy("cls").agg(F.min("key").alias("key"))
     expected = wanted.count()
     bloom = BloomFilter(wanted.select(F.xxhash64("key").alias("h")), expected)
@@ -270,7 +415,13 @@ def _links(df: DataFrame, key: str, text: str, n: int, threshold: float, min_wor
     texts = wanted.join(few, "key").groupBy("cls").agg(F.first("text").alias("text"))
     t1, t2 = texts.select(F.col("cls").alias("a"), F.col("text").alias("ta")), texts.select(F.col("cls").alias("b"), F.col("text").alias("tb"))
     links = pairs.join(t1, "a").join(t2, "b").select("a", "b", "ta", "tb").mapInArrow(_jaccard(n, threshold), "a bigint, b bigint, similarity double")
-    return made.select("key", "cls"), links
+    dense = met.where("block is not null").select(F.col("a").alias("cls")).distinct()
+    grams = texts.join(dense, "cls", "left_semi").select("cls", "text").mapInArrow(_grams(n), "cls bigint, grams binary")
+    schema = "cls bigint, links bigint" if degrees else "a bigint, b bigint, similarity double"
+    more = _block_pairs(met, grams, "grams").mapInArrow(_verified(threshold, degrees), schema)
+    if met.where("block is not null").limit(1).count() == 0:
+        more = spark.createDataFrame([], schema)  # as a rule: the branch over nothing needs no exchanges
+    return made.select("key", "cls"), links, more
 
 
 def near_duplicate_links(df: DataFrame, key: str = "chunk_id", text: str = "text_md", n: int = 5, threshold: float = 0.8, min_words: int = 0) -> DataFrame:
@@ -278,10 +429,11 @@ def near_duplicate_links(df: DataFrame, key: str = "chunk_id", text: str = "text
     other classes whose shingles of n words are similar by at least the threshold.
 
     Null keys and texts, and texts of fewer than max(n, min_words) words, are left out; repeated rows count once; a
-    key with several texts has a row for each. Copies share a class and aren't paired. Other columns are ignored.
+    key with several texts has a row for each. Copies share a class and aren't paired. Links of dense regions are
+    counted where they are found and never written out. Other columns are ignored.
     """
-    members, links = _links(df, key, text, n, threshold, min_words)
-    degree = links.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("links"))
+    members, links, dense = _links(df, key, text, n, threshold, min_words, degrees=True)
+    degree = links.select(F.explode(F.array("a", "b")).alias("cls"), F.lit(1).cast("bigint").alias("links")).unionByName(dense).groupBy("cls").agg(F.sum("links").alias("links"))
     return members.join(degree, "cls", "left").select("key", "cls", F.coalesce("links", F.lit(0)).alias("links"))
 
 
@@ -290,9 +442,9 @@ def near_duplicate_pairs(df: DataFrame, key: str = "chunk_id", text: str = "text
 
     Its size is that of the true result: classes of equal texts come out as all their pairs, by joins on the class.
     """
-    members, links = _links(df, key, text, n, threshold, min_words)
+    members, links, dense = _links(df, key, text, n, threshold, min_words)
     m1, m2 = members.select(F.col("key").alias("x"), F.col("cls").alias("a")), members.select(F.col("key").alias("y"), F.col("cls").alias("b"))
-    near = links.select("a", "b").join(m1, "a").join(m2, "b").select("x", "y")
+    near = links.unionByName(dense).select("a", "b").join(m1, "a").join(m2, "b").select("x", "y")
     equal = m1.join(m2.withColumnRenamed("b", "a"), "a").where("x < y").select("x", "y")
     return near.unionByName(equal).where("x <> y").select(F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b")).distinct()
 
