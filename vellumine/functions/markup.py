@@ -283,6 +283,8 @@ def _flat(e: ET.Element, level: int) -> str:
 
 def _topic(e: ET.Element, level: int) -> str:
     tag = e.tag.rsplit("}", 1)[-1].lower()
+    if tag == "prolog":
+        return ""  # metadata, which xml_topic() reads
     if tag in ("concept", "task", "reference", "topic", "section"):
         return "\n\n" + _flat(e, level + 1) + "\n\n"
     text = _flat(e, level)

@@ -23,6 +23,7 @@ class Rule:
     terms: tuple[str, ...]
 
 
+#: Patterns of questions, and the terms that each adds.
 RULES = (
     Rule(r"\bn2s\b|\bnavigate.+saas\b", ("N2S", "Navigate to SaaS")),
     Rule(r"\blifecycle\b|\bmethodology\b", ("Discovery", "Build", "Optimize", "Start", "Prepare", "Sprint 0", "Plan")),

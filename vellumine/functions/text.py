@@ -27,6 +27,7 @@ TAXONOMY = {
     "release-notes": ("release", "changelog", "version", "update"),
     "troubleshooting": ("troubleshoot", "error", "issue", "problem"),
 }
+#: Technical terms that count as keywords in any case.
 TECH_TERMS = "API|JSON|XML|HTML|CSS|JavaScript|Python|Java|SQL|REST|HTTP|HTTPS|URL|ID|UUID"
 ACCENTED = "йёáàâäãåāăąçćčďéèêëēėęěíìîïīįñńňóòôöõōőřŕśšťúùûüūůűųýÿžźż"
 PLAIN = "иеaaaaaaaaacccdeeeeeeeeiiiiiinnnooooooorrsstuuuuuuuuyyzzz"
@@ -157,7 +158,8 @@ def path_tags(breadcrumbs: Column, url: Column, c: Column) -> Column:
 
 
 def content_type(c: Column) -> Column:
-    """table, code, macro or text."""
+    """table, code, macro or text. Single words that repeat make a table if they do so among the first 50 lines that aren't
+    blank, a fixed value of the rule; all else looks at the whole text."""
     t = strip(text_of(c))
     table = t.rlike(r"\|[^\n]*\|[^\n]*\|") | t.rlike(r"(?is)<table.*?</table>")
     lines = F.filter(F.transform(F.split(t, "\n"), strip), lambda x: F.length(x) > 0)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 #: Query parameters that only track visits.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid", "mc_cid", "mc_eid", "_ga", "_gl")
-TRACKING_XML = (*TRACKING[:7], "msclkid", "mc_cid", "mc_eid", "_ga", "_gac")
+#: The same for links in XML topics.
+TRACKING_XML = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "fbclid", "gclid", "msclkid", "mc_cid", "mc_eid", "_ga", "_gac")
 
 
 def _decode(c: Column) -> Column:

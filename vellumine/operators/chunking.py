@@ -17,7 +17,6 @@ PARAGRAPH = re.compile(r"\n\s*\n")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 WORD = re.compile(r"\s+")
 FENCE = re.compile(r"```(\w*)\n(.*?)\n```\Z", re.S)
-NOTICE = "\n[TRUNCATED - EXCEEDED HARD CAP]"
 #: Single lines that are no content of their own.
 BOILERPLATE = frozenset(("references", "see also", "notes", "todo", "tbd"))
 
@@ -119,17 +118,15 @@ def layered(text: str, start: int, end: int, limits: Limits, headings: bool = Tr
         if len(units) > 1:
             out = []
             for p in _packed(text, units, limits, max(1, keep), name):
-                out += [p] if tokens(p.text) <= limits.hard else layered(text, p.start, p.end, limits, False, level + 1) if level < 4 else [p]
+                out += [p] if tokens(p.text) <= limits.hard else layered(text, p.start, p.end, limits, False, level + 1) if level < 4 else _cut(text, p.start, p.end, limits)
             return out
-    most = 4 * limits.hard + 3  # one word longer than the cap comes apart; nothing is dropped
-    return [Piece(text[a : min(a + most, end)], a, min(a + most, end), "token-window") for a in range(start, end, most)]
+    return _cut(text, start, end, limits)
 
 
-def _cap(p: Piece, limits: Limits) -> Piece:
-    if tokens(p.text) <= limits.hard:
-        return p
-    most = 4 * limits.hard + 3 - len(NOTICE)
-    return replace(p, text=p.text[:most] + NOTICE, end=p.start + most, strategy="force-truncate")
+def _cut(text: str, start: int, end: int, limits: Limits) -> list[Piece]:
+    """By characters: what no boundary divides, such as a word longer than the cap, comes apart; nothing is dropped."""
+    most = 4 * limits.hard + 3
+    return [Piece(text[a : min(a + most, end)], a, min(a + most, end), "token-window") for a in range(start, end, most)]
 
 
 def lone_heading(text: str) -> bool:
@@ -169,7 +166,10 @@ def glue(pieces: list[tuple[int, Piece]], limits: Limits) -> list[tuple[int, Pie
 
 
 def chunk_text(text: str, title: str = "", limits: Limits = Limits(), media: list[str] | None = None) -> list[tuple[int, Piece]]:
-    """(number, piece) of a document: normal form, its title as a heading first, media it doesn't show listed at its end."""
+    """(number, piece) of a document: normal form, its title as a heading first, media it doesn't show listed at its end.
+
+    Starts and ends are places in that form; source_places() maps them to the text as it was given.
+    """
     body = re.sub(r"\n{3,}", "\n\n", re.sub(r"\r\n?", "\n", text or "")).strip()
     if title and title.strip():
         body = f"# {title.strip()}\n\n{body}".rstrip()
@@ -178,11 +178,31 @@ def chunk_text(text: str, title: str = "", limits: Limits = Limits(), media: lis
         body += "\n\n## Media\n" + "\n".join(f"- {m}" for m in missing)
     if not body:
         return []
-    pieces = [(k, _cap(p, limits)) for k, p in enumerate(layered(body, 0, len(body), limits))]
+    pieces = list(enumerate(layered(body, 0, len(body), limits)))
     return glue(pieces, limits) if limits.soft else pieces
 
 
-SCHEMA = "doc_id string, chunk_id string, ord int, text_md string, char_count int, token_count int, split_strategy string, char_start int, char_end int, tail_small boolean"
+def source_places(text: str, title: str = "") -> list[int]:
+    """For each place of the normal form, and for its end, the place in the text given; 0 within a title put before it.
+
+    The normal form leaves out characters but adds none besides the title and, at the end, the list of media.
+    """
+    keep, at, breaks = [], 0, 0
+    while at < len(text):
+        wide = 2 if text.startswith("\r\n", at) else 1
+        breaks = breaks + 1 if text[at] in "\r\n" else 0
+        if breaks <= 2:
+            keep.append(at)
+        at += wide
+    while keep and text[keep[0]].isspace():
+        keep.pop(0)
+    while keep and text[keep[-1]].isspace():
+        keep.pop()
+    head = len(f"# {title.strip()}\n\n") if title and title.strip() else 0
+    return [0] * head + keep + [keep[-1] + 1 if keep else 0]
+
+
+SCHEMA = "doc_id string, chunk_id string, ord int, text_md string, char_count int, token_count int, split_strategy string, char_start int, char_end int, source_start int, source_end int, tail_small boolean"
 
 
 def body_length(text: Column) -> Column:
@@ -192,17 +212,22 @@ def body_length(text: Column) -> Column:
 
 
 def chunk_documents(df: DataFrame, key: str = "doc_id", text: str = "text", title: str | None = None, limits: Limits = Limits()) -> DataFrame:
-    """One row per chunk of every document; empty documents and null texts give none. No shuffle; texts are handled whole."""
+    """One row per chunk of every document; empty documents and null texts give none. No shuffle; texts are handled whole.
+
+    char_start and char_end are places in the normal form (line ends, empty lines, white space around), source_start and
+    source_end the same in the text itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.string()), ("chunk_id", pa.string()), ("ord", pa.int32()), ("text_md", pa.string()), ("char_count", pa.int32()), ("token_count", pa.int32()), ("split_strategy", pa.string()), ("char_start", pa.int32()), ("char_end", pa.int32()), ("tail_small", pa.bool_())])
+        schema = pa.schema([("doc_id", pa.string()), ("chunk_id", pa.string()), ("ord", pa.int32()), ("text_md", pa.string()), ("char_count", pa.int32()), ("token_count", pa.int32()), ("split_strategy", pa.string()), ("char_start", pa.int32()), ("char_end", pa.int32()), ("source_start", pa.int32()), ("source_end", pa.int32()), ("tail_small", pa.bool_())])
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 part = b.slice(lo, 500)
                 rows = []
                 for k, t, name in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    places = source_places(t, name or "")
                     for n, p in chunk_text(t, name or "", limits):
-                        rows.append((k, f"{k}:{n:04d}", n, p.text, len(p.text), tokens(p.text), p.strategy, p.start, p.end, p.tail_small))
+                        rows.append((k, f"{k}:{n:04d}", n, p.text, len(p.text), tokens(p.text), p.strategy, p.start, p.end, places[p.start], places[p.end - 1] + 1, p.tail_small))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

@@ -6,11 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Ranges of values that histogram() sums on their own.
+BUCKETS = 1024
+
+
 def histogram(rows: DataFrame, value: Column) -> DataFrame:
-    """v, n, upto (rows up to and with v), total. Its size is that of the distinct values, not of the rows."""
+    """v, n, upto (rows up to and with v), total, of numbers. Its size is that of the distinct values, not of the rows.
+
+    Running sums are taken within BUCKETS ranges of values, each on its own, and shifted by the sums of the ranges before:
+    only those, BUCKETS rows at most, meet in one task.
+    """
     h = rows.select(value.alias("v")).where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return h.withColumn("upto", F.sum("n").over(w)).withColumn("total", F.sum("n").over(Window.partitionBy()))
+    ends = h.agg(F.min("v").cast("double").alias("lo"), F.max("v").cast("double").alias("hi"), F.sum("n").alias("total"))
+    place = F.floor((F.col("v").cast("double") - F.col("lo")) / (F.col("hi") - F.col("lo")) * BUCKETS)
+    placed = h.crossJoin(F.broadcast(ends)).withColumn("bucket", F.when(F.col("hi") > F.col("lo"), F.least(F.coalesce(place, F.lit(BUCKETS)), F.lit(BUCKETS))).otherwise(0)).drop("lo", "hi")  # ends is one row
+    sums = placed.groupBy("bucket").agg(F.sum("n").alias("inside"))
+    before = sums.select("bucket", (F.sum("inside").over(Window.orderBy("bucket")) - F.col("inside")).alias("before"))
+    w = Window.partitionBy("bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.withColumn("upto", F.sum("n").over(w)).join(F.broadcast(before), "bucket").select("v", "n", (F.col("upto") + F.col("before")).alias("upto"), "total")
 
 
 def _at(index: Column) -> Column:

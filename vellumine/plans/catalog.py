@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vellumine.plans import ingest_queries, lifecycle_queries, reference_queries, retrieval_queries, statistics_queries, text_queries  # noqa: F401
+from vellumine.plans import ingest_queries, lifecycle_queries, pipeline_queries, reference_queries, retrieval_queries, statistics_queries, text_queries  # noqa: F401
 from vellumine.plans.registry import QUERIES, SQL
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vellumine.functions import hashes as H
 from vellumine.functions import markup as M
 from vellumine.functions import queries as Q
+from vellumine.functions.text import WS
 from vellumine.operators import chunking as C
 from vellumine.operators import embedding as B
 from vellumine.operators import ingest as I
@@ -40,15 +41,19 @@ def chunk_documents(t):
     return C.chunk_documents(t("documents").select("doc_id", "text").distinct())
 
 
-@query("chunk_documents_check", "select 0 as beyond_cap, 0 as blank, 0 as uncovered")
+_BODY = "regexp_replace(regexp_replace(regexp_replace(text, '\\r\\n?', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^[@\\x1c-\\x1f]+|[@\\x1c-\\x1f]+$', '', 'g')".replace("@", WS)
+
+
+@query("chunk_documents_check", f"with d as (select distinct cast(doc_id as varchar) as doc_id, cast(length({_BODY}) as int) as length from documents where text is not null) select doc_id, length, true as covered, 0 as bad_chunks from d where length > 0")
 def chunk_documents_check(t):
-    """Chunks beyond the cap, blank chunks, and documents of which less than 99.5 % is covered: there must be none."""
-    c = chunk_documents(t).persist()
+    """Every document with a body: its length, whether its chunks cover 99.5 % of it, and how many of them are blank or beyond the cap."""
+    c = chunk_documents(t)
     lengths = t("documents").select(F.col("doc_id").cast("string").alias("doc_id"), C.body_length(F.col("text")).alias("length")).distinct().where("length > 0")
-    cover = S.coverage(c.select("doc_id", F.col("char_start").alias("start"), F.col("char_end").alias("end")), lengths, "doc_id")
-    a = c.agg(F.count_if(F.col("token_count") > 800).alias("beyond_cap"), F.count_if(F.length(F.trim("text_md")) == 0).alias("blank"))
-    b = cover.agg(F.count_if(F.col("covered") < 0.995 * F.col("length")).alias("uncovered"))
-    return a.crossJoin(b).select(*[F.col(x).cast("int").alias(x) for x in ("beyond_cap", "blank", "uncovered")])  # one row each
+    bad = (F.col("token_count") > 800) | (F.length(F.trim("text_md")) == 0)
+    marked = c.select("doc_id", F.col("char_start").alias("start"), F.col("char_end").alias("end"), bad.cast("int").alias("bad")).distinct()
+    cover = S.coverage(marked, lengths, "doc_id").select("doc_id", (F.col("covered") >= 0.995 * F.col("length")).alias("covered"))
+    counts = marked.groupBy("doc_id").agg(F.sum("bad").cast("int").alias("bad_chunks"))
+    return lengths.join(cover, "doc_id").join(counts, "doc_id", "left").select("doc_id", "length", "covered", "bad_chunks")
 
 
 @query("markdown_round_trip", "with d as (select distinct chunk_id, text_md from chunks where contains(text_md, '<tr><td>') and not contains(text_md, '```')) select chunk_id, len(regexp_extract_all(text_md, '<tr>')) as rows from d")

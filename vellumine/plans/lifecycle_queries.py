@@ -116,9 +116,12 @@ def field_retention(t):
     return L.field_retention({"ingest": k.select(*fields[:4]), "chunk": c.select("doc_id", *fields[4:])}, ["doc_id", *fields])
 
 
-@query("chunk_set_hash")
+_HALF = "sum(cast(('0x' || substr(h, @, 12)) as bigint)::hugeint)"
+
+
+@query("chunk_set_hash", "with r as (select distinct sha256(coalesce(chunk_id, chr(0)) || chr(31) || coalesce(cast(token_count as varchar), chr(0)) || chr(31) || coalesce(text_md, chr(0))) as h from chunks) select count(*) as rows, sha256(count(*) || '|' || " + _HALF.replace("@", "1") + " || '|' || " + _HALF.replace("@", "13") + ") as set_hash from r")
 def chunk_set_hash(t):
-    """Order-free; checked in the tests against shuffled rows."""
+    """Order-free: the hashes of the rows are added up."""
     return L.set_hash(t("chunks"), "chunk_id", "token_count", "text_md")
 
 
@@ -133,10 +136,16 @@ def highwater_increment(t):
     return L.since(loads(t).distinct(), m, "updated_at", "space_key").select("doc_id", "version", "updated_at")
 
 
-@query("seen_ids", "select space_key, md5(string_agg(doc_id, ',' order by doc_id)) as ids_md5, count(*) as ids from (select distinct space_key, doc_id from kb_documents) group by space_key")
+@query("seen_ids", "select distinct space_key, doc_id from kb_documents")
 def seen_ids(t):
-    """Sorted distinct ids of each space. Ids are gathered per space, as the result demands."""
-    return t("kb_documents").groupBy("space_key").agg(F.array_sort(F.collect_set("doc_id")).alias("ids")).select("space_key", F.md5(F.array_join("ids", ",")).alias("ids_md5"), F.size("ids").alias("ids"))
+    """The ids seen in each space, one row each: a space that holds a third of all ids is no group in one task. Written out
+    by writers.write_partitioned() they are a file per space."""
+    return t("kb_documents").select("space_key", "doc_id").distinct()
+
+
+@query("seen_id_counts", "select space_key, count(distinct doc_id) as ids from kb_documents group by space_key")
+def seen_id_counts(t):
+    return seen_ids(t).groupBy("space_key").agg(F.count("doc_id").alias("ids"))
 
 
 @query("prunable_runs", "with r as (select run_id, max(deleted_at) as last from deleted_pages where run_id is not null group by run_id), n as (select run_id, last, row_number() over (order by last desc, run_id) as k from r) select run_id, last from n where k > 5")

@@ -108,7 +108,13 @@ def context_summary(t):
     return hits(t).agg(F.count(F.lit(1)).alias("hits"), F.countDistinct("doc_id").alias("documents"), F.sum(F.length(T.text_of(F.col("text_md")))).alias("characters"), F.min("score").alias("least"), F.max("score").alias("most"), F.round(F.avg("score"), 9).alias("mean"))
 
 
-@query("packed_context")
+_HEAD = "chr(10) || chr(10) || '--- Chunk ' || rank || ' (score: ' || printf('%.3f', score) || ') ---' || chr(10) || case when length(title) > 0 then 'Title: ' || title || chr(10) else '' end || case when length(url) > 0 then 'URL: ' || url || chr(10) else '' end || chr(10)"
+_PACKED = f"""{HITS}, hd as (select rank, {_HEAD} as head, coalesce(text_md, '') as body from (select hi.*, nullif(kt.url, '') as url from hi left join kt using (doc_id))), bf as (select *, length(head) + length(body) as size, coalesce(sum(length(head) + length(body)) over (order by rank rows between unbounded preceding and 1 preceding), 0) as before from hd),
+ct as (select *, case when before + size <= 6000 then head || body when 6000 - before - length(head) > 50 and before <= 6000 and length(trim(outside)) > 20 then head || outside || chr(10) || '[... truncated]' else '' end as part, min(case when before + size > 6000 then rank end) over () as stop
+  from (select *, case when len(regexp_extract_all(closed, '```')) % 2 = 1 then regexp_extract(closed, '(?s)^(.*)```', 1) else closed end as outside from (select *, body[1:greatest(6000 - before - length(head) - 1, 0)] as closed from bf)))"""
+
+
+@query("packed_context", _PACKED + " select coalesce(string_agg(part, '' order by rank), '') as context from ct where stop is null or rank <= stop")
 def packed_context(t):
     return R.context(hits(t), 6000)
 
@@ -119,7 +125,10 @@ def fetch_candidates(t):
     return t("chunks").select("chunk_id", "doc_id", "ord").distinct().join(e, "chunk_id").orderBy(F.asc_nulls_last("doc_id"), F.asc_nulls_last("ord"), "chunk_id").limit(100).select("chunk_id", "doc_id", "ord", "dim")
 
 
-@query("search_with_fallback")
+_LOST = ["zzqq", "retention", "tabel"]
+
+
+@query("search_with_fallback", f"with x as (select distinct chunk_id, doc_id, {_TRI.replace('@', 'text_md')} as a, {_TRI.replace('@', chr(39) + ' '.join(_LOST) + chr(39))} as b, list_has_all(regexp_extract_all(lower(coalesce(text_md, '')), '[\\p{{L}}\\p{{N}}]+'), {_LOST}) as hit from chunks), s as (select chunk_id, doc_id, round(len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))), 9) as score from x where not exists (select 1 from x y where y.hit)), r as (select *, row_number() over (order by score desc, doc_id, chunk_id) as rank from s where score > 0.1) select chunk_id, doc_id, score, rank, 'trigram' as search_type from r where rank <= 8")
 def search_with_fallback(t):
     return R.search_or_fallback(t("chunks"), "zzqq retention tabel", 8)
 
@@ -129,10 +138,17 @@ _QS = "q as (select chunk_id as query_id, e from v where try_cast(split_part(chu
 BATCH = f"with {_VEC} {_QS} bs as (select distinct query_id, v.chunk_id, round(list_inner_product(v.e, q.e) / ((sqrt(list_inner_product(v.e, v.e)) + 1e-8) * (sqrt(list_inner_product(q.e, q.e)) + 1e-8)), 9) as score from v, q), br as (select * from (select *, row_number() over (partition by query_id order by score desc, chunk_id) as rank from bs) where rank <= 8)"
 
 
+def stored(t):
+    return t("chunk_embeddings").where(f"provider = '{PROVIDER}' and dim = {DIM} and size(embedding) = {DIM}").where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x))).select("chunk_id", "embedding").distinct()
+
+
+def asking(t):
+    """query_id, q: the vectors of pages whose id is divisible by 100."""
+    return stored(t).where("try_cast(split_part(chunk_id, ':', 1) as bigint) % 100 = 0").where(F.exists("embedding", lambda x: x != 0)).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("q"))
+
+
 def batch(t):
-    e = t("chunk_embeddings").where(f"provider = '{PROVIDER}' and dim = {DIM} and size(embedding) = {DIM}").where(~F.exists("embedding", lambda x: x.isNull() | F.isnan(x))).select("chunk_id", "embedding").distinct()
-    q = e.where("try_cast(split_part(chunk_id, ':', 1) as bigint) % 100 = 0").where(F.exists("embedding", lambda x: x != 0)).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("q"))
-    return R.batch_dense(q, e, 8)
+    return R.batch_dense(asking(t), stored(t), 8)
 
 
 @query("batch_retrieval", BATCH + " select * from br")

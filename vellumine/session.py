@@ -42,12 +42,14 @@ def ensure_shipped(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a folder of our own only where it is unset."""
+    """The shared folder the cluster names in spark.checkpoint.dir; on one machine a folder of our own where it is unset."""
     sc = spark.sparkContext
     at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if at and not sc.getCheckpointDir():
         sc.setCheckpointDir(at)
     if not at:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = os.path.join(tempfile.gettempdir(), "vellumine-checkpoints")
         sc.setCheckpointDir(at)
     return at
