@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellumine.llm import encoding, languages, leakage, nearduplicates, quality, splitting, vectors
@@ -47,14 +47,42 @@ def p1_pieces(t):
     return splitting.split_oversized(t("chunks")).withColumnRenamed("key", "chunk_id")
 
 
+@query("p1_check", f"with c as (select distinct chunk_id, text_md from chunks where length(text_md) > 6000 or len(regexp_extract_all(text_md, '[^{WHITE}]+')) > 800) select chunk_id, len(regexp_extract_all(text_md, '[^{WHITE}]+')) as tokens, true as within, true as exact, true as whole from c")
+def p1_check(t):
+    """Every oversized chunk: its tokens; are its pieces within the limits, exact slices of it, and do they cover it with overlaps of at most 60 tokens?"""
+    texts = t("chunks").select("chunk_id", "text_md").distinct()
+    p = splitting.split_oversized(texts).join(texts.withColumnsRenamed({"chunk_id": "key", "text_md": "full"}), "key")
+    w = Window.partitionBy("key").orderBy("char_start")
+    count = lambda c: F.regexp_count(c, F.lit(f"[^{WHITE}]+"))
+    end, before = F.col("char_start") + F.length("text_md"), F.coalesce(F.lag("end").over(w), F.lit(0))
+    p = p.withColumn("end", end).withColumn("before", before).withColumn("next", F.lead("char_start").over(w))
+    part = lambda a, b: F.substring("full", a + 1, F.greatest(b - a, F.lit(0)))
+    gap, shared = count(part(F.col("before"), F.col("char_start"))), count(part(F.col("char_start"), F.least("before", "end")))
+    tail = F.when(F.col("next").isNull(), count(part(F.col("end"), F.length("full")))).otherwise(0)
+    within = (F.length("text_md") <= splitting.MAX_CHARS) & (F.col("token_count") <= splitting.MAX_TOKENS) & (F.col("token_count") == count(F.col("text_md")))
+    return p.groupBy(F.col("key").alias("chunk_id"), count(F.col("full")).alias("tokens")).agg(F.bool_and(within).alias("within"), F.bool_and(part(F.col("char_start"), F.col("end")) == F.col("text_md")).alias("exact"), F.bool_and((gap == 0) & (shared <= 60) & (tail == 0)).alias("whole"))
+
+
 @query("p2_found")
 def p2_found(t):
     return quality.found(t("chunks"))
 
 
-@query("p2_statistics")
+_COMMON = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.COMMON))
+_BREAKS = r"[\n\x0b\x0c\r\x{85}\x{2028}\x{2029}]+"
+_STATS_SQL = rf"""
+with c as (select chunk_id, text_md as x, regexp_extract_all(text_md, '[\p{{L}}\p{{N}}]+') as w, list_filter(regexp_split_to_array(text_md, '{_BREAKS}'), lambda l: regexp_matches(l, '[^{WHITE}]')) as lines,
+  length(regexp_replace(text_md, '[{WHITE}]+', '', 'g')) as visible, length(regexp_replace(text_md, '[{WHITE}\p{{L}}\p{{N}}]+', '', 'g')) as symbols from chunks)
+select chunk_id, len(w) as word_count, round(case when x is null then null else coalesce(list_sum(list_transform(w, lambda y: length(y))), 0) / greatest(1, len(w)) end, 6) as mean_word_length, round(symbols / greatest(1, visible), 6) as symbol_ratio,
+  round(len(list_filter(lines, lambda l: regexp_matches(l, '[.!?。！？…:;"''”’»)\]」』][{WHITE}]*$'))) / greatest(1, len(lines)), 6) as punct_line_share,
+  round(len(list_filter(w, lambda y: list_contains([{_COMMON}], lower(y)))) / greatest(1, len(w)), 6) as common_word_share from c"""
+
+
+@query("p2_statistics", _STATS_SQL)
 def p2_statistics(t):
-    return quality.text_quality(t("chunks").select("chunk_id", "text_md")).withColumnRenamed("key", "chunk_id")
+    """The statistics of every chunk; the kinds that the model makes of its lines are p2_found's and p2_kind_counts'."""
+    q = quality.text_quality(t("chunks").select("chunk_id", "text_md"))
+    return q.select(F.col("key").alias("chunk_id"), "word_count", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "punct_line_share", "common_word_share")])
 
 
 @query("p2_kind_counts")
@@ -81,10 +109,24 @@ def p3_found(t):
     return nearduplicates.found(t("chunks"))
 
 
-@query("p3_links")
+_LINKS_SQL = r"""
+with w as (select distinct chunk_id, list_transform(regexp_extract_all(text_md, '[\p{L}\p{N}]+'), lambda x: lower(x)) as words from chunks where text_md is not null and chunk_id is not null),
+m as (select chunk_id, array_to_string(words, ' ') as cls from w where len(words) >= 5),
+k as (select cls, min(chunk_id) as rep, string_split(cls, ' ') as words from m group by cls),
+s as (select distinct rep, array_to_string(list_slice(words, i, i + 4), ' ') as g from (select rep, words, unnest(range(1, len(words) - 3)) as i from k)),
+c as (select rep, count(*) as n from s group by rep),
+p as (select a.rep as ra, b.rep as rb, count(*) as shared from s a join s b on a.g = b.g and a.rep <> b.rep group by all),
+d as (select ra as rep, count(*) as links from p join c x on x.rep = ra join c y on y.rep = rb where shared / (x.n + y.n - shared) >= 0.8 group by ra)
+select chunk_id, k.rep as class, coalesce(links, 0) as links from m join k using (cls) left join d on d.rep = k.rep
+"""
+
+
+@query("p3_links", _LINKS_SQL)
 def p3_links(t):
-    """Five words and a similarity of 0.8: one row per chunk with its class and number of links."""
-    return nearduplicates.near_duplicate_links(t("chunks")).select(F.col("key").alias("chunk_id"), "cls", "links")
+    """Five words and a similarity of 0.8: one row per chunk with its class, named by its smallest chunk, and the number of other classes linked to it."""
+    rows = nearduplicates.near_duplicate_links(t("chunks"))
+    names = rows.groupBy("cls").agg(F.min("key").alias("class"))
+    return rows.join(names, "cls").select(F.col("key").alias("chunk_id"), "class", "links")
 
 
 _VEC_SQL = """
