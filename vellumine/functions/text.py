@@ -224,3 +224,20 @@ def orphan_heading(c: Column) -> Column:
     """At most one line that isn't blank, and that one a heading."""
     lines = F.filter(F.split(text_of(c), "\n"), lambda x: F.length(strip(x)) > 0)
     return (F.size(lines) <= 1) & F.coalesce(F.try_element_at(lines, F.lit(1)).rlike(r"^[ \t]*#"), F.lit(True))
+
+
+def table_digest(c: Column, rows: int = 5) -> Column:
+    """The head of the first table, its rule, its first rows and how many more lines with cells the text has; null without a table."""
+    cells = F.filter(F.split(text_of(c), "\n"), lambda x: x.contains("|"))
+    more = F.size(cells) - 2 - rows
+    shown = F.array_join(F.slice(cells, 1, 2 + rows), "\n")
+    return F.when(F.size(cells) >= 2, F.when(more > 0, F.concat(shown, F.lit("\n... ("), more.cast("string"), F.lit(" more rows)"))).otherwise(shown))
+
+
+def code_digest(c: Column, lines: int = 3) -> Column:
+    """The language of the first fenced block, the names it defines (at most eight, in order) and its first lines; null without one."""
+    body = F.regexp_extract(text_of(c), r"(?s)```\w*\n(.*?)\n?```", 1)
+    lang = F.regexp_extract(text_of(c), r"```(\w*)\n", 1)
+    names = F.slice(F.array_distinct(F.regexp_extract_all(body, F.lit(r"(?:def|class|function|export)[ \t]+(\w+)"), F.lit(1))), 1, 8)
+    head = F.concat(F.lit("Code ("), F.when(lang != "", lang).otherwise("text"), F.lit("): "), F.array_join(names, ", "), F.lit("\n"))
+    return F.when(text_of(c).rlike(r"(?s)```\w*\n.*?```"), F.concat(head, F.array_join(F.slice(F.split(body, "\n"), 1, lines), "\n")))

@@ -62,11 +62,14 @@ def to_embed(chunks: DataFrame, embeddings: DataFrame, provider: str, skip: Data
     return todo if skip is None else todo.join(skip.select("doc_id").distinct(), "doc_id", "left_anti")
 
 
-def load(chunks: DataFrame, embeddings: DataFrame, provider: str, dim: int, skip: DataFrame | None = None) -> DataFrame:
-    """The embeddings(chunk_id, provider, dim, content_hash, embedding) after a load; a second load changes nothing."""
+def load(chunks: DataFrame, embeddings: DataFrame, provider: str, dim: int, skip: DataFrame | None = None, keep_failed: bool = False) -> DataFrame:
+    """The embeddings(chunk_id, provider, dim, content_hash, embedding) after a load; a second load changes nothing.
+
+    A text that the provider fails on is tried again by the next load; with keep_failed its zero vector is stored instead.
+    """
     check_dimension(embeddings.where(F.col("provider") == provider), dim)
     rows = chunks.withColumn("content_hash", H.content_hash(F.col("text_md"))).dropDuplicates(["chunk_id"])
-    fresh = embed(to_embed(rows, embeddings, provider, skip), provider, dim).where("not failed")
+    fresh = embed(to_embed(rows, embeddings, provider, skip), provider, dim).where("true" if keep_failed else "not failed")
     fresh = fresh.join(rows.select("chunk_id", "content_hash"), "chunk_id").select("chunk_id", "provider", "dim", "content_hash", "embedding")
     return upsert(embeddings, fresh, "chunk_id", "provider")
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vellumine.functions import markup as M
+from vellumine.functions import text as T
 from vellumine.functions import urls as U
+from vellumine.operators import embedding as B
 from vellumine.operators import ingest as I
 from vellumine.operators import qa as A
 from vellumine.operators import retrieval as R
@@ -14,7 +18,9 @@ from vellumine.plans import retrieval_queries as Q
 from vellumine.plans.ingest_queries import _PAGES, pages
 from vellumine.plans.registry import query
 from vellumine.plans.text_queries import ENRICHED, enriched
-from vellumine.sources.readers import ATTACHMENT
+from vellumine.session import ensure_checkpoint_dir
+from vellumine.sources.readers import ATTACHMENT, read_ndjson
+from vellumine.sources.writers import write_ndjson
 
 BUDGETS = [1500, 4000, 6000]
 _B = f"(select unnest({BUDGETS}) as budget) b"
@@ -274,3 +280,62 @@ def body_hashes(t):
     loose = p.withColumn("body_adf", F.regexp_replace(F.regexp_replace("body_adf", r'^\{"type":"doc",(.*)\}$', r'{ $1, "type" : "doc" }'), '"level":3', '"level" : 3'))
     h = lambda df, n: df.select("id", I.content_sha256(df).alias(n))
     return h(p, "a").join(h(loose, "b"), "id").select("id", F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("hashed"))
+
+
+_LINES = "list_filter(string_split(coalesce(text_md, ''), chr(10)), lambda x: contains(x, '|'))"
+
+
+@query("table_digests", f"select distinct chunk_id, array_to_string(l[1:7], chr(10)) || case when len(l) > 7 then chr(10) || '... (' || (len(l) - 7) || ' more rows)' else '' end as digest from (select chunk_id, {_LINES} as l from chunks) where len(l) >= 2")
+def table_digests(t):
+    return t("chunks").select("chunk_id", T.table_digest(F.col("text_md")).alias("digest")).where("digest is not null").distinct()
+
+
+@query("code_digests", r"""with c as (select distinct chunk_id, regexp_extract(text_md, '(?s)```\w*\n(.*?)\n?```', 1) as body, regexp_extract(text_md, '```(\w*)\n', 1) as lang from chunks where regexp_matches(text_md, '(?s)```\w*\n.*?```')),
+n as (select *, regexp_extract_all(body, '(?:def|class|function|export)[ \t]+(\w+)', 1) as l from c)
+select chunk_id, 'Code (' || case when lang <> '' then lang else 'text' end || '): ' || array_to_string(list_slice(list_filter(l, lambda x, i: list_position(l, x) = i), 1, 8), ', ') || chr(10) || array_to_string(string_split(body, chr(10))[1:3], chr(10)) as digest from n""")
+def code_digests(t):
+    return t("chunks").select("chunk_id", T.code_digest(F.col("text_md")).alias("digest")).where("digest is not null").distinct()
+
+
+def _picky():
+    """A provider that fails on texts with cells, and with them on the whole batch."""
+
+    def call(texts: list[str]) -> list[list[float]]:
+        if any("|" in t for t in texts):
+            raise RuntimeError("cells")
+        return [[float(len(t) % 97), 1.0] for t in texts]
+
+    return call
+
+
+@query("embedding_failures", "with c as (select chunk_id, min(text_md) as x from chunks where chunk_id is not null group by chunk_id) select chunk_id, contains(coalesce(x, ''), '|') as failed, cast(case when contains(coalesce(x, ''), '|') then 0 else length(coalesce(x, '')) % 97 end as double) as first, cast(case when contains(coalesce(x, ''), '|') then 0 else 1 end as double) as second from c")
+def embedding_failures(t):
+    """A provider that fails on some texts: the others of their batches are embedded alone, the failed ones get zero vectors."""
+    B.register("picky", _picky)
+    c = t("chunks").where("chunk_id is not null").groupBy("chunk_id").agg(F.min("text_md").alias("text_md"))
+    e = B.embed(c, "picky", 2, 64)
+    return e.select("chunk_id", "failed", F.col("embedding")[0].cast("double").alias("first"), F.col("embedding")[1].cast("double").alias("second"))
+
+
+_CUT = "2024-09-01 00:00:00"
+
+
+@query("manifest_changes", f"with e as (select distinct chunk_id, provider, dim, created_at from chunk_embeddings where provider is not null), b as (select provider, max(dim) as dimension, count(*) as n from e where created_at < timestamp '{_CUT}' group by provider), a as (select provider, max(dim) as dimension, count(*) as n from e group by provider) select a.provider as run_id, case when b.provider is null then 'new' else array_to_string(list_filter([case when a.dimension is distinct from b.dimension then 'dimension' end, case when a.n <> b.n then 'chunk_count' end], lambda x: x is not null), ',') end as reasons from a left join b using (provider) where b.provider is null or a.dimension is distinct from b.dimension or a.n <> b.n")
+def manifest_changes(t):
+    """Providers whose vectors have changed in kind or number since a day: these must be embedded anew."""
+    e = t("chunk_embeddings").where("provider is not null").select("chunk_id", "provider", "dim", "created_at").distinct()
+    none = F.lit(None).cast("string")
+    manifest = lambda rows: rows.groupBy(F.col("provider").alias("run_id")).agg(F.max("dim").alias("dimension"), F.count(F.lit(1)).alias("chunk_count")).select("run_id", F.col("run_id").alias("provider"), none.alias("model"), "dimension", F.lit("four characters").alias("tokenizer"), F.lit("layers").alias("chunker"), "chunk_count", none.alias("set_hash"))
+    return B.manifest_changes(manifest(e.where(F.col("created_at") < F.lit(_CUT).cast("timestamp"))), manifest(e))
+
+
+@query("ndjson_records", "select doc_id, version, title, 'r7' as run_id, 0 as malformed from kb_documents union all select null, null, null, null, 2")
+def ndjson_records(t):
+    """The loads written as NDJSON and read again with the run of their folder, beside two malformed lines, which are counted."""
+    k = t("kb_documents").select("doc_id", "version", "title")
+    at = f"{ensure_checkpoint_dir(k.sparkSession)}/ndjson/{uuid.uuid4()}/runs/r7"
+    write_ndjson(k, f"{at}/pages")
+    k.sparkSession.createDataFrame([("{broken",), ("  ",), ("[1",)], "value string").coalesce(1).write.text(f"{at}/odd")
+    rows, bad = read_ndjson(k.sparkSession, [f"{at}/pages", f"{at}/odd"], "doc_id string, version int, title string")
+    none = [F.lit(None).cast(x).alias(n) for n, x in (("doc_id", "string"), ("version", "int"), ("title", "string"), ("run_id", "string"))]
+    return rows.select("doc_id", "version", "title", "run_id", F.lit(0).cast("bigint").alias("malformed")).unionByName(bad.agg(F.count(F.lit(1)).alias("malformed")).select(*none, "malformed"))
