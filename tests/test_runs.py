@@ -99,13 +99,15 @@ def test_quantiles_from_ranges(spark, n):
         assert r["upper"] == pytest.approx(statistics.quantiles(x, n=10)[8] if n >= 10 else x[-1])
 
 
-@settings(max_examples=80, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="ab \n\r\t　é", max_size=60))
 def test_places_in_the_source(text):
     body = C.re.sub(r"\n{3,}", "\n\n", C.re.sub(r"\r\n?", "\n", text)).strip()
-    places = C.source_places(text)
-    assert len(places) == len(body) + 1
-    assert all(body[i] == ("\n" if text[p] == "\r" else text[p]) for i, p in enumerate(places[:-1])) and places == sorted(places)
+    place = C.source_places(text)
+    places = [place(i) for i in range(len(body))]
+    assert all(c == ("\n" if text[p] == "\r" else text[p]) for c, p in zip(body, places)) and places == sorted(set(places))
+    titled = C.source_places(text, "T")
+    assert [titled(i + len("# T\n\n")) for i in range(len(body))] == places and titled(0) == 0
 
 
 def test_spans_of_chunks_fit_the_source(spark):

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ HEADING = re.compile(r"(?m)^(?=#+\s)")
 PARAGRAPH = re.compile(r"\n\s*\n")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 WORD = re.compile(r"\s+")
+LINE_END = re.compile(r"\r\n?|\n")
+LINE_ENDS = re.compile(r"(?:\r\n?|\n){3,}|\r\n")
 FENCE = re.compile(r"```(\w*)\n(.*?)\n```\Z", re.S)
 #: Single lines that are no content of their own.
 BOILERPLATE = frozenset(("references", "see also", "notes", "todo", "tbd"))
@@ -182,24 +185,34 @@ def chunk_text(text: str, title: str = "", limits: Limits = Limits(), media: lis
     return glue(pieces, limits) if limits.soft else pieces
 
 
-def source_places(text: str, title: str = "") -> list[int]:
-    """For each place of the normal form, and for its end, the place in the text given; 0 within a title put before it.
+def source_places(text: str, title: str = "") -> Callable[[int], int]:
+    """The place in the text given of each character of its normal form; 0 within a title put before it.
 
-    The normal form leaves out characters but adds none besides the title and, at the end, the list of media.
+    The normal form leaves out characters but adds none besides the title and, at the end, the list of media. Only the
+    line ends where something is left out are looked at.
     """
-    keep, at, breaks = [], 0, 0
-    while at < len(text):
-        wide = 2 if text.startswith("\r\n", at) else 1
-        breaks = breaks + 1 if text[at] in "\r\n" else 0
-        if breaks <= 2:
-            keep.append(at)
-        at += wide
-    while keep and text[keep[0]].isspace():
-        keep.pop(0)
-    while keep and text[keep[-1]].isspace():
-        keep.pop()
+    at, shift = [0], [0]  # from a place of the normal form on, the text is so many characters ahead
+    for m in LINE_ENDS.finditer(text):
+        ends = LINE_END.findall(m[0])
+        place = m.start() - shift[-1]
+        for k, e in enumerate(ends):
+            if k >= 2 and len(ends) >= 3:  # no more than one empty line in a row
+                shift[-1] += len(e)
+                continue
+            place += 1
+            if len(e) == 2 or k == 1:
+                at.append(place)
+                shift.append(shift[-1] + len(e) - 1)
     head = len(f"# {title.strip()}\n\n") if title and title.strip() else 0
-    return [0] * head + keep + [keep[-1] + 1 if keep else 0]
+    left = len(text) - len(text.lstrip())  # white space before the text, of which the normal form may have fewer characters
+    lead = next((j for j in range(left + 1) if j + shift[bisect_right(at, j) - 1] >= left), left)
+    last = max(len(text.rstrip()) - 1, 0)
+
+    def place_of(i: int) -> int:
+        j = i - head + lead
+        return 0 if i < head else min(j + shift[bisect_right(at, j) - 1], last)
+
+    return place_of
 
 
 SCHEMA = "doc_id string, chunk_id string, ord int, text_md string, char_count int, token_count int, split_strategy string, char_start int, char_end int, source_start int, source_end int, tail_small boolean"
@@ -225,9 +238,9 @@ def chunk_documents(df: DataFrame, key: str = "doc_id", text: str = "text", titl
                 part = b.slice(lo, 500)
                 rows = []
                 for k, t, name in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    places = source_places(t, name or "")
+                    place = source_places(t, name or "")
                     for n, p in chunk_text(t, name or "", limits):
-                        rows.append((k, f"{k}:{n:04d}", n, p.text, len(p.text), tokens(p.text), p.strategy, p.start, p.end, places[p.start], places[p.end - 1] + 1, p.tail_small))
+                        rows.append((k, f"{k}:{n:04d}", n, p.text, len(p.text), tokens(p.text), p.strategy, p.start, p.end, place(p.start), place(p.end - 1) + 1, p.tail_small))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
