@@ -156,6 +156,32 @@ def test_related_whole_texts(spark):
     assert len(got) == len(want) > 100 and {(r["src"], r["dst"], r["confidence"], r["evidence"]) for r in got} == want
 
 
+def test_related_texts_lie_on_disk_once(spark):
+    import random
+    from pathlib import Path
+
+    rng = random.Random(5)
+    rows = [(k, " ".join(f"{rng.getrandbits(40):010x}" for _ in range(40)) + " that with then") for k in range(800)]
+    folders = [Path(str(f)) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p: p.stat().st_size for f in folders for p in f.rglob("shuffle_*.data")}
+    before = files()
+    df = S.related_texts(spark.createDataFrame(rows, "k long, t string"), "k", "t", block=16)
+    assert df.count() == 800 * 799 // 2
+    written = sum(n for p, n in files().items() if p not in before)
+    assert 0 < written < 4 * sum(len(t) for _, t in rows)  # 50 blocks
+
+
+def test_related_texts_of_one_key_are_one_text(spark):
+    rows = [("d", "alpha beta"), ("d", "gamma alpha"), ("d", None), ("d", "beta"), ("e", "gamma beta alpha"), ("f", "alpha beta"), (None, "alpha beta gamma"), ("g", "a b")]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+        got = S.related_texts(spark.createDataFrame(rows, "k string, t string"), "k", "t", block=1).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [tuple(r) for r in got] == [("d", "e", "RELATES_TO", 0.15, "alpha,beta,gamma")]
+
+
 def test_titles_of_any_length_are_mentioned(spark):
     long = "one two three four five six seven eight nine ten"
     rows = [("a", "Roadmap", f"see {long}, then"), ("b", long.title(), "the roadmap of it"), ("c", "Two words", "Roadmaps; two words"), ("d", None, "roadmap"), ("e", "...", None)]
