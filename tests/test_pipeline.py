@@ -171,6 +171,59 @@ def test_related_texts_lie_on_disk_once(spark):
     assert 0 < written < 4 * sum(len(t) for _, t in rows)  # 50 blocks
 
 
+def test_related_texts_take_few_bytes_on_disk(spark):
+    import random
+    from pathlib import Path
+
+    rng = random.Random(7)
+    words = [f"{rng.getrandbits(32):08x}" for _ in range(3000)]
+    rows = [(k, " ".join(dict.fromkeys(words[int(3000 * rng.random() ** 4)] for _ in range(120)))) for k in range(2000)]
+    folders = [Path(str(f)) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {p: p.stat().st_size for f in folders for p in f.rglob("shuffle_*.data")}
+    before = files()
+    edges = S.related_texts(spark.createDataFrame(rows, "k long, t string"), "k", "t").count()
+    written = sum(n for p, n in files().items() if p not in before)
+    sets = [set(t.split()) for _, t in rows]
+    assert edges == sum(len(a & b) >= 3 for i, a in enumerate(sets) for b in sets[:i])
+    assert 0 < written < 4 * sum(map(len, sets))  # bytes a word, both shuffles; 9 were written of whole words
+
+
+def test_texts_are_packed_and_cut_whole(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    class Context:
+        get = classmethod(lambda cls: cls)
+        partitionId = staticmethod(lambda: 3)
+
+    monkeypatch.setattr(S, "TaskContext", Context)
+    rng = random.Random(11)
+    rows = [(k % 5, k, rng.sample([f"w{i}" for i in range(40)], rng.randint(0, 12))) for k in rng.choices(range(60), k=150)]
+    want = {}
+    for _, k, w in rows:
+        want.setdefault(k, set()).update(w)
+    batch = lambda part: pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int32()), pa.array([r[1] for r in part]), pa.array([r[2] for r in part], pa.list_(pa.string()))], ["k", "id", "w"])
+    seen = []
+    for size in (10, 150):
+        packs = pa.Table.from_batches(S._packs((batch(rows[i : i + size]) for i in range(0, 150, size)), most=60)).sort_by("k")
+        blocks = list(S._blocks(iter(packs.to_batches(max_chunksize=4)), block=7, most=50))
+        got = {}
+        for x, body in ((x, body) for b in blocks for x, body in zip(b.column(0).to_pylist(), b.column(1))):
+            ids, words, cell = S._opened(body)
+            assert len(ids) <= 7 and (len(ids) == 1 or len(cell) <= 50) and words.to_pylist() == sorted(set(words.to_pylist()))
+            for k in ids.to_pylist():
+                assert k not in got
+                got[k] = set()
+            for c in cell.tolist():
+                got[ids[c % len(ids)].as_py()].add(words[c // len(ids)].as_py())
+        assert got == {k: w for k, w in want.items() if w} and len({b.column(0)[0].as_py() for b in blocks}) == len(blocks) > 8
+        seen.append([b.column(1).to_pylist() for b in blocks])
+    # a task that is run again makes the same blocks, in whatever order the packs come
+    turned = packs.take(pa.array(range(len(packs) - 1, -1, -1))).sort_by("k")
+    assert [b.column(1).to_pylist() for b in S._blocks(iter(turned.to_batches()), block=7, most=50)] == seen[1]
+
+
 def test_related_texts_of_one_key_are_one_text(spark):
     rows = [("d", "alpha beta"), ("d", "gamma alpha"), ("d", None), ("d", "beta"), ("e", "gamma beta alpha"), ("f", "alpha beta"), (None, "alpha beta gamma"), ("g", "a b")]
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
